@@ -87,12 +87,8 @@ def decode_batches(messages: DataFrame, batch_id: str, value: str = "value") ->
     return opened.select(*keep, "pos", *_event_columns("_e"), "decode_error")
 
 
-def encode_events(events: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Event rows to JSON messages keyed by tenant; empty fields are left out."""
-    names = columns or [
-        "id", "tenant_id", "user_id", "event_type", "source", "timestamp", "labels"
-    ]
-    fields = [F.col(c) for c in names]
-    if "payload" in events.columns:
-        fields.append(F.try_parse_json("payload").alias("payload"))
-    return events.select(F.col("tenant_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+def encode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Event rows to JSON messages keyed by tenant; null fields are left out."""
+    fields = ["id", "tenant_id", "user_id", "event_type", "source", "timestamp", "labels"]
+    body = F.struct(*fields, F.try_parse_json("payload").alias("payload"))
+    return events.select(*(keep or []), F.col("tenant_id").alias("key"), F.to_json(body).alias("value"))
