@@ -14,7 +14,7 @@ NO_MODEL_TEXT = "AI analysis unavailable: no API key configured"
 def fixed(x: str | Column, digits: int) -> Column:
     """Fixed-point text of a double, rounded half-even on its binary value (as printf does)."""
     pattern = "0" if digits == 0 else "0." + "0" * digits
-    return F.format_number(col(x).cast("double"), pattern)
+    return F.call_function("format_number", col(x).cast("double"), F.lit(pattern))
 
 
 def severity_color(severity: str | Column) -> Column:

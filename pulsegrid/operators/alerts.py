@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import alert_message, severity_color, severity_rank
 from ..functions.timing import HOUR, MINUTE, RULE_WINDOWS, TUMBLING, col
 from ..schemas import ALERT_RULE, FIRED_ALERT
-from .dedup import fold_times
+from .dedup import fold_rows
 from .sessions import number_by_gap
 
 COOLDOWN = 5 * MINUTE
@@ -75,9 +75,10 @@ def compare(operator: str | Column, current: Column, threshold: Column) -> Colum
 def match_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Enabled rules joined to the windows they watch.
 
-    Rules for one tenant join on the tenant too, so a type with many windows is spread over its
-    tenants; only wildcard rules join on type and window alone. No hint is given: Spark
-    broadcasts the rules while their measured size allows it and shuffles them beyond that.
+    Each window looks for rules of its own tenant and of any tenant, so the join is by equality
+    on all three columns and a rule of one tenant never meets windows of another. No hint is
+    given: Spark broadcasts the rules while their measured size allows it and shuffles them,
+    splitting skewed keys, beyond that.
     """
     names = F.create_map(*[F.lit(x) for pair in RULE_WINDOWS.items() for x in pair])
     active = rules.where("enabled").select(
@@ -87,10 +88,14 @@ def match_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
         "event_type", "metric", "operator", "threshold", "severity",
         F.element_at(names, F.col("window")).alias("window_type"),
     )
-    own = active.where(F.col("rule_tenant") != ANY_TENANT).withColumn("tenant_id", F.col("rule_tenant"))
-    wild = active.where(F.col("rule_tenant") == ANY_TENANT)
-    on = ["event_type", "window_type"]
-    return metrics.join(own, [*on, "tenant_id"]).unionByName(metrics.join(wild, on))
+    both = metrics.withColumn("rule_tenant", F.explode(F.array("tenant_id", F.lit(ANY_TENANT))))
+    return both.join(active, ["event_type", "window_type", "rule_tenant"])
+
+
+def watched_events(events: DataFrame, rules: DataFrame) -> DataFrame:
+    """Events of types that some enabled rule watches, so that no other windows are built."""
+    types = rules.where("enabled").select("event_type").distinct()
+    return events.join(types, "event_type", "left_semi")
 
 
 def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
@@ -127,8 +132,7 @@ def fire(
         F.min_by(F.struct(*[c for c in candidates.columns if c not in (*keys, "fired_at")]),
                  F.struct("tenant_id", "event_type", "window_type")).alias("_c")
     )
-    times = fold_times(candidates, keys, "fired_at", cooldown_ms)
-    kept = first.join(times, [*keys, "fired_at"], "left_semi").select(*keys, "fired_at", "_c.*")
+    kept = fold_rows(first, keys, "fired_at", cooldown_ms).select(*keys, "fired_at", "_c.*")
     key = F.concat_ws(":", "rule_id", "tenant_id", F.col("fired_at").cast("string"))
     return kept.select(
         F.concat(F.lit("alert-"), F.md5(key)).alias("id"),

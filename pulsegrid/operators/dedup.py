@@ -100,25 +100,24 @@ def chain_times(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int, slots
     return per_key.select(*keys, F.explode(walked).alias(ts))
 
 
-def fold_times(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int) -> DataFrame:
-    """The same chain by one pass over the times of a key.
+def fold_rows(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int) -> DataFrame:
+    """The same chain by one pass over the rows of a key, at most one row per (keys, ts).
 
-    For keys whose number of distinct times is bounded by the time grid (window ends, for one).
+    For keys whose number of distinct times is bounded by a time grid (window ends, for one).
     """
-    start = F.array().cast("array<bigint>")
+    rest = [c for c in moments.columns if c not in (*keys, ts)]
+    row = F.struct(ts, *rest)
     kept = F.aggregate(
-        "times",
-        start,
-        lambda acc, t: F.when(
-            (F.size(acc) == 0) | (t - F.element_at(acc, -1) >= ttl_ms), F.concat(acc, F.array(t))
+        "_rows",
+        F.slice("_rows", 1, 0),
+        lambda acc, r: F.when(
+            (F.size(acc) == 0) | (r[ts] - F.element_at(acc, -1)[ts] >= ttl_ms), F.concat(acc, F.array(r))
         ).otherwise(acc),
     )
     return (
-        moments.select(*keys, ts)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(ts)).alias("times"))
-        .select(*keys, F.explode(kept).alias(ts))
+        moments.groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+        .select(*keys, F.inline(kept))
     )
 
 
@@ -143,10 +142,15 @@ def rejected_rows(df: DataFrame, keys: list[str], ts: str, seq: str, ttl_ms: int
 
 
 def mark_duplicates(
-    df: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL
-) -> DataFrame:
-    """All rows with `is_duplicate`; `seq` orders arrivals of the same millisecond and is unique."""
-    bad = rejected_rows(df, keys, ts, seq, ttl_ms).withColumn("is_duplicate", F.lit(True))
+    df: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL,
+    eligible: Column | None = None,
+) -> DataFrame:
+    """All rows with `is_duplicate`; `seq` orders arrivals of the same millisecond and is unique.
+
+    Rows that are not `eligible` neither are duplicates nor make others so.
+    """
+    counted = df if eligible is None else df.where(eligible)
+    bad = rejected_rows(counted, keys, ts, seq, ttl_ms).withColumn("is_duplicate", F.lit(True))
     return df.join(bad, [*keys, ts, seq], "left").withColumn(
         "is_duplicate", F.coalesce("is_duplicate", F.lit(False))
     )

@@ -63,13 +63,11 @@ def ingest_status(
 
     Validation comes first: an invalid event neither counts as seen nor as a duplicate.
     """
-    checked = validate(df)
-    good = mark_duplicates(checked.where("error IS NULL"), [key], arrival, seq, ttl_ms)
-    bad = checked.where("error IS NOT NULL").withColumn("is_duplicate", F.lit(False))
+    marked = mark_duplicates(validate(df), [key], arrival, seq, ttl_ms, eligible=F.col("error").isNull())
     status = F.when(F.col("error").isNotNull(), F.col("error")).when(
         F.col("is_duplicate"), F.lit(DUPLICATE)
     )
-    return good.unionByName(bad).withColumn("status", F.coalesce(status, F.lit(ACCEPTED)))
+    return marked.withColumn("status", F.coalesce(status, F.lit(ACCEPTED)))
 
 
 def batch_summary(statuses: DataFrame, batch_id: str = "batch_id", pos: str = "pos") -> DataFrame:
