@@ -23,6 +23,7 @@ from ..functions.timing import DAY
 
 DEDUP_TTL = DAY
 SLOTS = 1024
+FOLD_BLOCK = 64
 
 
 def _chain(days: Column, i: Column, entry: Column, ttl: int) -> Column:
@@ -104,20 +105,26 @@ def fold_rows(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int) -> Data
     """The same chain by one pass over the rows of a key, at most one row per (keys, ts).
 
     For keys whose number of distinct times is bounded by a time grid (window ends, for one).
+    Spark copies the state of an `aggregate` at every step, so rows are folded block by block:
+    steps inside a block only carry what that block keeps.
     """
     rest = [c for c in moments.columns if c not in (*keys, ts)]
-    row = F.struct(ts, *rest)
-    kept = F.aggregate(
-        "_rows",
-        F.slice("_rows", 1, 0),
-        lambda acc, r: F.when(
-            (F.size(acc) == 0) | (r[ts] - F.element_at(acc, -1)[ts] >= ttl_ms), F.concat(acc, F.array(r))
-        ).otherwise(acc),
-    )
+    none = "slice(_rows, 1, 0)"
+    step = f"""
+        CASE WHEN b.last IS NOT NULL AND r.{ts} - b.last < {ttl_ms} THEN b
+             ELSE named_struct('last', r.{ts}, 'kept', concat(b.kept, array(r))) END"""
+    block = f"aggregate(rows, named_struct('last', s.last, 'kept', {none}), (b, r) -> {step})"
+    blocks = f"""transform(sequence(0, (size(_rows) - 1) div {FOLD_BLOCK}),
+                           i -> slice(_rows, i * {FOLD_BLOCK} + 1, {FOLD_BLOCK}))"""
+    kept = f"""
+        aggregate({blocks}, named_struct('last', cast(null as bigint), 'kept', {none}),
+                  (s, rows) -> transform(array({block}), b ->
+                      named_struct('last', b.last, 'kept', concat(s.kept, b.kept)))[0],
+                  s -> s.kept)"""
     return (
         moments.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-        .select(*keys, F.inline(kept))
+        .agg(F.sort_array(F.collect_list(F.struct(ts, *rest))).alias("_rows"))
+        .selectExpr(*keys, f"inline({kept})")
     )
 
 

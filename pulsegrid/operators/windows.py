@@ -7,19 +7,18 @@ of all rows, so it is found by narrowing instead of by gathering the values:
 1. Events are reduced to cells, one per (key, base window, value band), holding count, sum, lowest
    and highest value. Bands follow the logarithm of the value, so their number per window depends
    on the value range only. This step combines on the map side.
-2. Cells, not events, are copied into every window length. Running counts over the bands of a
-   window find the band that holds the wanted rank.
-3. Most windows are then finished: the rank is the lowest or the highest value of its band, or the
-   band has one value. (Below 100 events the rank is the window's maximum.)
-4. For the others, only events of the wanted bands are read back and ranked inside the band.
+2. Cells, not events, are copied into every window length and summed. Windows of fewer than 100
+   events (or of one value) are finished: the percentile is their maximum.
+3. For the larger ones, running counts over their bands find the band with the wanted rank. If the
+   rank is the lowest or highest of the band, or the band has one value, they are finished too.
+4. For the rest, only events of the wanted bands are read back and ranked inside the band.
 
-Steps 3 and 4 read the same exchange, so the cells are computed once.
+Steps 2 and 3 read the same exchange of cells; a stage without any window is skipped at run time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timing import MINUTE, SECOND, TUMBLING, floor_ms
@@ -29,74 +28,65 @@ BANDS_PER_E = 256
 PERCENT = 99
 
 
-def value_band(value: str) -> Column:
+def value_band(value: str, bands: int = BANDS_PER_E) -> Column:
     """Order-preserving band of a double: log1p is monotonic, so is its floor."""
-    v = F.col(value)
-    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * BANDS_PER_E)).cast("bigint")
-
-
-def _rank(count: str, percent: int) -> Column:
-    """ceil(percent/100 * n) in whole numbers."""
-    return F.expr(f"{count} - ({count} * {100 - percent}) div 100")
+    return F.expr(f"cast(signum({value}) * floor(log1p(abs({value})) * {bands}) as bigint)")
 
 
 def explode_windows(df: DataFrame, durations: dict[str, int], ts: str) -> DataFrame:
     """One row per window length, with `window_type` and `window_start`."""
-    windows = F.array(
-        *[
-            F.struct(F.lit(name).alias("window_type"), floor_ms(ts, ms).alias("window_start"))
-            for name, ms in durations.items()
-        ]
+    entries = ", ".join(
+        f"named_struct('window_type', '{name}', 'window_start', {ts} - pmod({ts}, {ms}L))"
+        for name, ms in durations.items()
     )
-    return df.select("*", F.inline(windows))
+    return df.selectExpr("*", f"inline(array({entries}))")
 
 
-def _window_end(durations: dict[str, int]) -> Column:
-    length = F.create_map(*[F.lit(x) for pair in durations.items() for x in pair])
-    return F.col("window_start") + F.element_at(length, F.col("window_type")).cast("bigint")
+def _length(durations: dict[str, int]) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {ms}L" for name, ms in durations.items())
+    return f"CASE window_type {cases} END"
 
 
 def _not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    for c in columns:
-        df = df.where(F.col(c).isNotNull())
-    return df
+    return df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
 
 
-def _cells(df: DataFrame, keys: list[str], base_ms: int, ts: str, value: str, weight: str | None) -> DataFrame:
-    n = F.count("*") if weight is None else F.sum(weight)
-    s = F.sum(value) if weight is None else F.sum(F.col(value) * F.col(weight))
+def _cells(
+    df: DataFrame, keys: list[str], base_ms: int, ts: str, value: str, weight: str | None, bands: int
+) -> DataFrame:
+    n, s = ("count(*)", f"sum({value})") if weight is None else (f"sum({weight})", f"sum({value} * {weight})")
+    aggs = {"_n": n, "_s": s, "_lo": f"min({value})", "_hi": f"max({value})"}
     return (
-        df.select(*df.columns, floor_ms(ts, base_ms).alias("_base"), value_band(value).alias("_band"))
+        df.select("*", floor_ms(ts, base_ms).alias("_base"), value_band(value, bands).alias("_band"))
         .groupBy(*keys, "_base", "_band")
-        .agg(n.alias("_n"), s.alias("_s"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        .agg(*[F.expr(f"{e} AS {name}") for name, e in aggs.items()])
     )
 
 
-def _locate(cells: DataFrame, group: list[str], percent: int) -> DataFrame:
-    """One row per window: totals, and the band, bounds and in-band rank of the percentile.
+def _locate(cells: DataFrame, large: DataFrame, group: list[str], percent: int) -> DataFrame:
+    """Totals, and the band, bounds and in-band rank of the percentile, of the large windows.
 
     The final aggregation has the partitioning of the window functions, so it adds no shuffle.
     """
-    whole = W.partitionBy(*group)
-    bands = whole.orderBy("_band")
-    ranked = cells.select(
-        *group, "_band", "_n", "_lo", "_hi",
-        F.sum("_n").over(bands).alias("_upto"),
-        F.sum("_n").over(bands.rangeBetween(W.unboundedPreceding, -1)).alias("_below"),
-        F.sum("_n").over(whole).alias("count"),
-        F.sum("_s").over(whole).alias("sum"),
-    ).withColumn("_rank", _rank("count", percent) - F.coalesce("_below", F.lit(0)))
-    in_band = ranked.where("_rank > 0 AND _rank <= _upto - coalesce(_below, 0)")
-    return in_band.groupBy(*group).agg(
-        F.max("count").alias("count"), F.max("sum").alias("sum"),
-        F.max("_band").alias("_band"), F.max("_rank").alias("_rank"), F.sum("_n").alias("_n"),
-        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
-    )
+    part = ", ".join(group)
+    up = f"OVER (PARTITION BY {part} ORDER BY _band RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    ranked = cells.join(large.select(*group, "count"), group).selectExpr(
+        *group, "count", "_band", "_n", "_lo", "_hi",
+        f"sum(_n) {up} CURRENT ROW) AS _upto",
+        f"coalesce(sum(_n) {up} 1 PRECEDING), 0) AS _below",
+        f"sum(_s) OVER (PARTITION BY {part}) AS sum",
+        f"count - (count * {100 - percent}) div 100 AS _rank",
+    ).where("_rank > _below AND _rank <= _upto")
+    aggs = [
+        "max(count) AS count", "max(sum) AS sum", "max(_band) AS _band", "max(_rank - _below) AS _rank",
+        "sum(_n) AS _n", "min(_lo) AS _lo", "max(_hi) AS _hi",
+    ]
+    return ranked.groupBy(*group).agg(*[F.expr(a) for a in aggs])
 
 
 def _rank_in_band(
     events: DataFrame, open_: DataFrame, keys: list[str], durations: dict[str, int],
-    ts: str, value: str, weight: str | None,
+    ts: str, value: str, weight: str | None, bands: int,
 ) -> DataFrame:
     """Finish the windows whose rank lies inside a band.
 
@@ -104,32 +94,26 @@ def _rank_in_band(
     most, set by the window lengths), so each event is shuffled once, not once per length.
     """
     longest = max(durations.values())
-    carried = ["window_type", "window_start", "count", "sum", "_band", "_rank"]
-    targets = (
-        open_.groupBy(*keys, "_parent")
-        .agg(F.collect_list(F.struct(*carried, _window_end(durations).alias("_end"))).alias("_open"))
-    )
-    n = F.count("*") if weight is None else F.sum(weight)
-    inside = F.filter(
-        "_open",
-        lambda w: (w["_band"] == F.col("_eband"))
-        & (F.col(ts) >= w["window_start"])
-        & (F.col(ts) < w["_end"]),
+    fields = "window_type, window_start, count, sum, _band, _rank"
+    targets = open_.groupBy(*keys, floor_ms("window_start", longest).alias("_parent")).agg(
+        F.expr(f"collect_list(struct({fields}, window_start + {_length(durations)} AS _end)) AS _open")
     )
-    group = [*keys, "window_type", "window_start"]
+    inside = f"filter(_open, w -> w._band = _eband AND {ts} >= w.window_start AND {ts} < w._end)"
+    carried = [*keys, value, *([weight] if weight else [])]
+    group = [*keys, "window_type", "window_start", "count", "sum"]
     counts = (
-        events.withColumn("_parent", floor_ms(ts, longest))
-        .withColumn("_eband", value_band(value))
+        events.select("*", floor_ms(ts, longest).alias("_parent"), value_band(value, bands).alias("_eband"))
         .join(targets, [*keys, "_parent"])
-        .select(*keys, value, *([weight] if weight else []), F.inline(inside))
-        .groupBy(*group, "count", "sum", "_rank", value)
-        .agg(n.alias("_n"))
+        .selectExpr(*carried, f"inline({inside})")
+        .groupBy(*group, "_rank", value)
+        .agg(F.expr("count(*) AS _n" if weight is None else f"sum({weight}) AS _n"))
     )
-    upto = F.sum("_n").over(W.partitionBy(*group).orderBy(value))
+    by_window = ", ".join([*keys, "window_type", "window_start"])
+    upto = f"sum(_n) OVER (PARTITION BY {by_window} ORDER BY {value}) AS _upto"
     return (
-        counts.withColumn("_upto", upto)
+        counts.selectExpr("*", upto)
         .where("_rank <= _upto AND _rank > _upto - _n")
-        .select(*group, "count", "sum", F.col(value).alias("_p"))
+        .selectExpr(*group, f"{value} AS _p")
     )
 
 
@@ -141,6 +125,7 @@ def window_metrics(
     value: str = "value",
     weight: str | None = None,
     percent: int = PERCENT,
+    bands: int = BANDS_PER_E,
 ) -> DataFrame:
     """count, sum, avg and exact percentile per key and window, for all lengths in one go.
 
@@ -150,28 +135,31 @@ def window_metrics(
     base, longest = min(durations.values()), max(durations.values())
     if any(ms % base or longest % ms for ms in durations.values()):
         raise ValueError("window lengths must nest")
-    # Stating the null filters here keeps both readers of the cells identical, so Spark reuses
-    # their exchange; a join would otherwise infer the filters on one side only.
+    # Stating the null filters here, and using every column of the cells in both readers, keeps
+    # the two plans identical down to the exchange, so Spark runs it once.
     slim = _not_null(events.select(*keys, ts, value, *([weight] if weight else [])), [*keys, ts, value])
-    cells = _cells(slim, keys, base, ts, value, weight).withColumn("_parent", floor_ms("_base", longest))
-    group = [*keys, "_parent", "window_type", "window_start"]
-    located = _locate(explode_windows(_not_null(cells, ["_parent"]), durations, "_base"), group, percent)
-    at_top, at_bottom = F.col("_rank") == F.col("_n"), F.col("_rank") == 1
-    done = at_top | at_bottom | (F.col("_lo") == F.col("_hi"))
-    finished = located.where(done).select(
-        *group[:-3], *group[-2:], "count", "sum",
-        F.when(at_top, F.col("_hi")).otherwise(F.col("_lo")).alias("_p"),
-    )
-    ranked = _rank_in_band(slim, located.where(~done), keys, durations, ts, value, weight)
-    return finished.unionByName(ranked).select(
-        *keys,
-        "window_type",
-        "window_start",
-        _window_end(durations).alias("window_end"),
+    cells = explode_windows(_cells(slim, keys, base, ts, value, weight, bands), durations, "_base")
+    group = [*keys, "window_type", "window_start"]
+    totals = cells.groupBy(*group).agg(
+        *[F.expr(e) for e in ("sum(_n) AS count", "sum(_s) AS sum", "min(_lo) AS _lo", "max(_hi) AS _hi")]
+    )
+    big = f"count * {100 - percent} >= 100 AND _lo < _hi AND sum IS NOT NULL"
+    located = _locate(cells, totals.where(big), group, percent)
+    done = "_rank = _n OR _rank = 1 OR _lo = _hi"
+    parts = [
+        totals.where(f"NOT ({big})").selectExpr(*group, "count", "sum", "_hi AS _p"),
+        located.where(done).selectExpr(
+            *group, "count", "sum", "CASE WHEN _rank = _n THEN _hi ELSE _lo END AS _p"
+        ),
+        _rank_in_band(slim, located.where(f"NOT ({done})"), keys, durations, ts, value, weight, bands),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).selectExpr(
+        *group,
+        f"window_start + {_length(durations)} AS window_end",
         "count",
         "sum",
-        (F.col("sum") / F.col("count")).alias("avg"),
-        F.col("_p").alias(f"p{percent}"),
+        "sum / count AS avg",
+        f"_p AS p{percent}",
     )
 
 
