@@ -3,12 +3,13 @@
 An arrival is accepted when its key was not accepted within the last `ttl_ms`; a rejected copy
 does not extend the period. The rule is greedy, so it is a chain of accepted times per key.
 
-* Keys seen once never enter the chain work, and full rows are never shuffled for it: only
-  (key, time, sequence) of repeated keys is, and the result comes back as an anti join against the
-  rejected rows.
+* Keys seen once never enter the chain work: only (key, time, sequence) of repeated keys does. The
+  outcome comes back as a join on (key, time) with one row per moment of a repeated key; while
+  those are few Spark broadcasts them at run time and full rows are not shuffled at all.
 * Copies with the same key and millisecond collapse during the map side of an aggregation.
 * A key whose copies all lie within one period accepts just its first arrival: an aggregation.
-* For the rest, time is cut into periods of `ttl_ms` and every period into slots. The chain moves
+* Keys of a limited number of rows fold their sorted times in one pass.
+* For larger keys, time is cut into periods of `ttl_ms` and every period into slots. The chain moves
   from one period to the same slot or a later one of the next period, and it always enters a slot
   at the slot's first arrival. So each (key, slot) can follow its own chains alone, and what is
   left per key is one entry per slot and period: bounded by the time span, not by the rows.
@@ -24,6 +25,7 @@ from ..functions.timing import DAY
 DEDUP_TTL = DAY
 SLOTS = 1024
 FOLD_BLOCK = 64
+FOLD_LIMIT = 10_000
 
 
 def _chain(days: Column, i: Column, entry: Column, ttl: int) -> Column:
@@ -128,45 +130,57 @@ def fold_rows(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int) -> Data
     )
 
 
-def rejected_rows(df: DataFrame, keys: list[str], ts: str, seq: str, ttl_ms: int = DEDUP_TTL) -> DataFrame:
-    """(keys, ts, seq) of the rows that are duplicates."""
-    ident = [*keys, ts, seq]
-    narrow = df.select(*ident)
+def verdicts(
+    df: DataFrame, keys: list[str], ts: str, seq: str, ttl_ms: int = DEDUP_TTL, fold_limit: int = FOLD_LIMIT
+) -> DataFrame:
+    """One row per (keys, ts) of repeated keys: `_first`, the first sequence there, and `_taken`.
+
+    The row (keys, ts, _first) is accepted if `_taken`; all others with these (keys, ts) are not.
+    """
+    narrow = df.select(*keys, ts, seq)
     repeated = (
         narrow.groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
         .where("_n > 1")
     )
-    copies = narrow.join(repeated.drop("_n"), keys)
-    moments = copies.groupBy(*keys, ts).agg(
-        F.min(seq).alias(seq), F.min("_lo").alias("_lo"), F.min("_hi").alias("_hi")
+    # The filter keeps `_first` in all uses below, so that they share an exchange.
+    moments = (
+        narrow.join(repeated, keys)
+        .groupBy(*keys, ts)
+        .agg(F.min(seq).alias("_first"), *[F.min(c).alias(c) for c in ("_n", "_lo", "_hi")])
+        .where("_first IS NOT NULL")
     )
-    brief = (F.col("_hi") - F.col("_lo")) < ttl_ms
-    first_only = moments.where(brief & (F.col(ts) == F.col("_lo"))).select(*keys, ts)
-    chained = chain_times(moments.where(~brief), keys, ts, ttl_ms)
-    kept = moments.select(*ident).join(first_only.unionByName(chained), [*keys, ts], "left_semi")
-    return copies.select(*ident).join(kept, ident, "left_anti")
+    spread = moments.where(f"_hi - _lo >= {ttl_ms}")
+    folded = fold_rows(spread.where(f"_n <= {fold_limit}").select(*keys, ts), keys, ts, ttl_ms)
+    walked = chain_times(spread.where(f"_n > {fold_limit}"), keys, ts, ttl_ms)
+    chained = folded.unionByName(walked).withColumn("_taken", F.lit(True))
+    brief = moments.where(f"_hi - _lo < {ttl_ms}").selectExpr(*keys, ts, "_first", f"{ts} = _lo AS _taken")
+    long = spread.select(*keys, ts, "_first").join(chained, [*keys, ts], "left")
+    return brief.unionByName(long.withColumn("_taken", F.coalesce("_taken", F.lit(False))))
 
 
 def mark_duplicates(
     df: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL,
-    eligible: Column | None = None,
+    eligible: Column | None = None, fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
     """All rows with `is_duplicate`; `seq` orders arrivals of the same millisecond and is unique.
 
     Rows that are not `eligible` neither are duplicates nor make others so.
     """
     counted = df if eligible is None else df.where(eligible)
-    bad = rejected_rows(counted, keys, ts, seq, ttl_ms).withColumn("is_duplicate", F.lit(True))
-    return df.join(bad, [*keys, ts, seq], "left").withColumn(
-        "is_duplicate", F.coalesce("is_duplicate", F.lit(False))
+    known = verdicts(counted, keys, ts, seq, ttl_ms, fold_limit)
+    duplicate = F.coalesce(~F.col("_taken") | (F.col(seq) != F.col("_first")), F.lit(False))
+    if eligible is not None:
+        duplicate = duplicate & eligible
+    return (
+        df.join(known, [*keys, ts], "left").withColumn("is_duplicate", duplicate).drop("_first", "_taken")
     )
 
 
 def drop_duplicates(
     df: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL
 ) -> DataFrame:
-    return df.join(rejected_rows(df, keys, ts, seq, ttl_ms), [*keys, ts, seq], "left_anti")
+    return mark_duplicates(df, keys, ts, seq, ttl_ms).where("NOT is_duplicate").drop("is_duplicate")
 
 
 def drop_seen(
