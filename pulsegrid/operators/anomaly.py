@@ -15,6 +15,20 @@ RUNNING_HISTORY = 10
 WINDOW_HISTORY = 60
 
 
+_WHOLE = "decimal(20,0)"
+_SUM = "decimal(38,0)"
+
+
+def _zscore(n: str, x: str, total: str, squares: str) -> str:
+    """|x - mean| / sigma of whole numbers, from exact sums: |n x - sum| / sqrt(n sum2 - sum^2).
+
+    Scores of exactly 3 are common on small counts (one event in ten windows, for one) and must
+    not be tipped over the limit by rounding.
+    """
+    spread = f"({n} * {squares} - {total} * {total})"
+    return f"CASE WHEN {spread} > 0 THEN cast(abs({n} * {x} - {total}) as double) / sqrt(cast({spread} as double)) END"
+
+
 def zscore_windows(
     counts: DataFrame, history: int = WINDOW_HISTORY, min_history: int = 10, sigmas: float = SIGMAS,
     keys: list[str] = KEYS, order: str = "window_start", value: str = "count",
@@ -22,20 +36,19 @@ def zscore_windows(
     """Z-score of each closed window against up to `history` windows before it, per key.
 
     Too little history gives z = 0 and no anomaly, so does a history without any spread.
-    Input is one row per key and window, so a key's rows are bounded by time.
+    Input is one whole number per key and window, so a key's rows are bounded by time.
     """
-    before = W.partitionBy(*keys).orderBy(order).rowsBetween(-history, -1)
-    x = F.col(value).cast("double")
-    enough = F.col("_n") >= min_history
-    z = F.when(enough & (F.col("_sd") > 0), F.abs(x - F.col("_mean")) / F.col("_sd"))
+    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order} ROWS BETWEEN {history} PRECEDING AND 1 PRECEDING)"
+    x = f"cast({value} as {_WHOLE})"
+    framed = counts.selectExpr(
+        "*", f"count({value}) {over} AS _n", f"cast(sum({x}) {over} as {_SUM}) AS _sum",
+        f"cast(sum({x} * {x}) {over} as {_SUM}) AS _squares",
+    )
+    z = f"coalesce(CASE WHEN _n >= {min_history} THEN {_zscore('_n', x, '_sum', '_squares')} END, 0.0D)"
     return (
-        counts.withColumn("_n", F.count(value).over(before))
-        .withColumn("_mean", F.avg(x).over(before))
-        .withColumn("_sd", F.stddev_pop(x).over(before))
-        .withColumn("history_avg", F.coalesce("_mean", F.lit(0.0)))
-        .withColumn("z_score", F.coalesce(z, F.lit(0.0)))
+        framed.selectExpr("*", "coalesce(cast(_sum as double) / _n, 0.0D) AS history_avg", f"{z} AS z_score")
         .withColumn("is_anomaly", F.col("z_score") > sigmas)
-        .drop("_n", "_mean", "_sd")
+        .drop("_n", "_sum", "_squares")
     )
 
 
@@ -83,14 +96,14 @@ def _history_scores(events: DataFrame, duration_ms: int, history: int, sigmas: f
         F.array().cast("array<bigint>")
     )
     rows = rows.withColumn("_hist", F.slice(F.concat(own, "_tail"), 1, h))
-    total = F.aggregate("_hist", F.lit(0.0), lambda a, v: a + v)
-    rows = rows.withColumn("_mean", total / h)
-    squares = F.aggregate("_hist", F.lit(0.0), lambda a, v: a + (v - F.col("_mean")) * (v - F.col("_mean")))
-    rows = rows.withColumn("_sd", F.sqrt(squares / h))
-    z = F.when((F.size("_hist") >= h) & (F.col("_sd") > 0), F.abs(p - F.col("_mean")) / F.col("_sd"))
-    return rows.select(
-        *keys, "window_start", "running_count", F.coalesce(z, F.lit(0.0)).alias("z_score")
-    ).withColumn("is_anomaly", F.col("z_score") > sigmas)
+    total = f"aggregate(_hist, cast(0 as {_SUM}), (a, v) -> cast(a + v as {_SUM}))"
+    squares = f"aggregate(_hist, cast(0 as {_SUM}), (a, v) -> cast(a + cast(v as {_WHOLE}) * v as {_SUM}))"
+    sums = rows.selectExpr("*", f"{total} AS _sum", f"{squares} AS _squares")
+    z = _zscore(f"cast({h} as bigint)", "running_count", "_sum", "_squares")
+    return sums.selectExpr(
+        *keys, "window_start", "running_count",
+        f"coalesce(CASE WHEN size(_hist) >= {h} THEN {z} END, 0.0D) AS z_score",
+    ).withColumn("is_anomaly", F.col("z_score") > sigmas)
 
 
 def zscore_running(

@@ -51,7 +51,7 @@ def sustained_breaches(
     """Runs of consecutive breaching steps lasting at least `for_ms`."""
     rows = series.where(F.col(breach))
     order = W.partitionBy(*keys).orderBy(ts)
-    island = F.col(ts) - F.row_number().over(order) * F.lit(step_ms)
+    island = F.col(ts) - F.row_number().over(order).cast("bigint") * F.lit(step_ms)
     return (
         rows.withColumn("_island", island)
         .groupBy(*keys, "_island")

@@ -30,10 +30,11 @@ def _signals(spark, sf_dir):
 _RUNNING = check_sql("""
     , r AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, event_type, timestamp // 3600000
                                          ORDER BY timestamp, seq) AS running_count FROM canon),
-    h AS (SELECT *, count(*) OVER w AS n, avg(running_count) OVER w AS mean, stddev_pop(running_count) OVER w AS sd
+    h AS (SELECT *, count(*) OVER w AS n, sum(running_count) OVER w AS s, sum(running_count * running_count) OVER w AS q
           FROM r WINDOW w AS (PARTITION BY tenant_id, event_type ORDER BY timestamp, seq
                               ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)),
-    z AS (SELECT *, CASE WHEN n >= 10 AND sd > 0 THEN abs(running_count - mean) / sd ELSE 0.0 END AS z FROM h)
+    z AS (SELECT *, CASE WHEN n >= 10 AND n * q - s * s > 0
+           THEN CAST(abs(n * running_count - s) AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) ELSE 0.0 END AS z FROM h)
     """)
 
 
@@ -75,9 +76,10 @@ def zscore_windows_query(spark, sf_dir):
     , span AS (SELECT tenant_id, event_type, min(window_start) AS a, max(window_start) AS b FROM hourly GROUP BY ALL),
     grid AS (SELECT tenant_id, event_type, unnest(range(a, b + 1, 3600000)) AS window_start FROM span),
     filled AS (SELECT g.*, coalesce(h.count, 0) AS count FROM grid g LEFT JOIN hourly h USING (tenant_id, event_type, window_start)),
-    s AS (SELECT *, count(*) OVER w AS n, avg(count) OVER w AS mean, stddev_pop(count) OVER w AS sd FROM filled
+    s AS (SELECT *, count(*) OVER w AS n, sum(count) OVER w AS s, sum(count * count) OVER w AS q FROM filled
           WINDOW w AS (PARTITION BY tenant_id, event_type ORDER BY window_start ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)),
-    z AS (SELECT *, CASE WHEN n >= 10 AND sd > 0 THEN abs(count - mean) / sd ELSE 0.0 END AS z FROM s)
+    z AS (SELECT *, CASE WHEN n >= 10 AND n * q - s * s > 0
+           THEN CAST(abs(n * count - s) AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) ELSE 0.0 END AS z FROM s)
     SELECT tenant_id, event_type, window_start, count, round(z, 6) AS z_score, z > 3.0 AS is_anomaly FROM z
     """, "hourly"))
 def zscore_windows_zero_filled(spark, sf_dir):

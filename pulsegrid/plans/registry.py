@@ -46,8 +46,10 @@ CTES = {
         SELECT tenant_id, event_type, timestamp - timestamp % 3600000 AS window_start, count(*) AS count
         FROM canon GROUP BY ALL""",
     "scored": """
-        SELECT *, CASE WHEN n >= 10 AND sd > 0 THEN abs(count - coalesce(mean, 0)) / sd ELSE 0.0 END AS z
-        FROM (SELECT *, count(*) OVER w AS n, avg(count) OVER w AS mean, stddev_pop(count) OVER w AS sd
+        SELECT *, CASE WHEN n >= 10 AND n * q - s * s > 0
+                       THEN CAST(abs(n * count - s) AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) ELSE 0.0 END AS z
+        FROM (SELECT *, count(*) OVER w AS n, sum(count) OVER w AS s, sum(count * count) OVER w AS q,
+                     CAST(sum(count) OVER w AS DOUBLE) / count(*) OVER w AS mean
               FROM hourly WINDOW w AS (PARTITION BY tenant_id, event_type ORDER BY window_start
                                        ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING))""",
     "dirty": """

@@ -122,9 +122,10 @@ def _views(spark, sf_dir):
 
 @query("stream_zscore", check_sql(f"""
     , closed AS (SELECT hourly.* FROM hourly, clock WHERE window_start + 3600000 <= {_CLOSED}),
-    s AS (SELECT *, count(*) OVER w AS n, avg(count) OVER w AS mean, stddev_pop(count) OVER w AS sd FROM closed
+    s AS (SELECT *, count(*) OVER w AS n, sum(count) OVER w AS s, sum(count * count) OVER w AS q FROM closed
           WINDOW w AS (PARTITION BY tenant_id, event_type ORDER BY window_start ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)),
-    z AS (SELECT *, CASE WHEN n >= 10 AND sd > 0 THEN abs(count - mean) / sd ELSE 0.0 END AS z FROM s)
+    z AS (SELECT *, CASE WHEN n >= 10 AND n * q - s * s > 0
+           THEN CAST(abs(n * count - s) AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) ELSE 0.0 END AS z FROM s)
     SELECT tenant_id, event_type, window_start, count, round(z, 6) AS z_score, z > 3.0 AS is_anomaly FROM z
     """, "hourly", "clock"))
 def stream_zscore(spark, sf_dir):

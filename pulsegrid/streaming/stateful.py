@@ -25,13 +25,13 @@ class HistoryScorer(StatefulProcessor):
         self.history, self.min_history, self.sigmas = history, min_history, sigmas
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.past = handle.getValueState("past", "counts array<double>")
+        self.past = handle.getValueState("past", "counts array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         past = list(self.past.get()[0]) if self.past.exists() else []
         frame = pd.concat(list(rows)).sort_values("window_start", ignore_index=True)
-        scores = []
-        for x in frame["count"].astype(float):
+        scores: list[float] = []
+        for x in frame["count"].tolist():
             scores.append(self._score(past, x))
             past = (past + [x])[-self.history :]
         self.past.update((past,))
@@ -39,12 +39,13 @@ class HistoryScorer(StatefulProcessor):
         frame["is_anomaly"] = frame["z_score"] > self.sigmas
         yield frame[["tenant_id", "event_type", "window_start", "count", "z_score", "is_anomaly"]]
 
-    def _score(self, past: list[float], x: float) -> float:
-        if len(past) < self.min_history:
+    def _score(self, past: list[int], x: int) -> float:
+        """The batch formula, on exact whole numbers."""
+        n, total = len(past), sum(past)
+        spread = n * sum(v * v for v in past) - total * total
+        if n < self.min_history or spread == 0:
             return 0.0
-        mean = math.fsum(past) / len(past)
-        spread = math.sqrt(math.fsum((v - mean) ** 2 for v in past) / len(past))
-        return abs(x - mean) / spread if spread > 0 else 0.0
+        return abs(n * x - total) / math.sqrt(spread)
 
     def close(self) -> None:
         pass

@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,10 @@ def test_too_little_history(spark):
     assert all(z == 0.0 for z, _ in scores(spark, [1, 50, 1, 900, 3, 4, 800, 2, 1, 70]))
 
 
+def test_a_score_of_exactly_three_is_no_anomaly(spark):
+    assert scores(spark, [0] * 9 + [1, 1])[-1] == (3.0, False)
+
+
 def test_tenants_do_not_share_history(spark):
     rows = [("a", "e", i, 1000) for i in range(20)] + [("b", "e", 20, 1)]
     df = spark.createDataFrame(rows, "tenant_id string, event_type string, window_start bigint, count bigint")
@@ -51,9 +56,9 @@ def simulate(rows, duration, history=10):
         c, hist = counts[window], past.setdefault(tenant, [])
         z = 0.0
         if len(hist) >= history:
-            mean = sum(hist) / history
-            sd = math.sqrt(sum((v - mean) ** 2 for v in hist) / history)
-            z = abs(c - mean) / sd if sd > 0 else 0.0
+            mean = Fraction(sum(hist), history)
+            variance = sum((v - mean) ** 2 for v in hist) / history
+            z = math.sqrt((c - mean) ** 2 / variance) if variance > 0 else 0.0
             hist.pop(0)
         hist.append(c)
         out[ident] = (c, z)

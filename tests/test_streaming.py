@@ -138,9 +138,9 @@ def test_cooldown_survives_between_runs(spark, tmp_path):
 
 def test_gate_and_scorer_without_a_stream():
     scorer = stateful.HistoryScorer(60, 10, 3.0)
-    assert scorer._score([1.0] * 9, 500.0) == 0.0
-    assert scorer._score([5.0] * 10, 500.0) == 0.0
-    assert scorer._score([1.0, 3.0] * 5, 5.0) == 3.0
+    assert scorer._score([1] * 9, 500) == 0.0
+    assert scorer._score([5] * 10, 500) == 0.0
+    assert scorer._score([1, 3] * 5, 5) == 3.0
 
 
 def test_hot_table_drops_old_windows(spark):
