@@ -125,6 +125,7 @@ def dashboard(
 ) -> DataFrame:
     """One row per tenant: counts, rate, revenue, users, latest window, alerts.
 
+    `metrics` needs tenant, window type, window start and count: the stored window metrics, or counts.
     The event table is read once: every event figure is a conditional aggregate of one pass.
     """
     used = clamp_minutes_value(revenue_minutes)

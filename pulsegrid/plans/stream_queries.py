@@ -15,8 +15,9 @@ from ..session import shared_dir, use_utc
 from ..sources.canonical import as_events
 from ..streaming import jobs, stateful
 from ..streaming.sources import read_files
+from . import ingest_queries  # noqa: F401  (registers dedup_24h)
 from .fixtures import candidates, dirty, tidy
-from .registry import check_sql, query
+from .registry import ORACLES, check_sql, query
 
 _CLOSED = "now - 300000"
 
@@ -71,11 +72,21 @@ def stream_session_windows(spark, sf_dir):
     return _run(spark, jobs.session_windows(_event_stream(spark, sf_dir)), "stream-sessions")
 
 
-@query("stream_dedup")
+@query("stream_dedup", check_sql("SELECT DISTINCT user_id || ':' || event_type AS key FROM canon"))
 def stream_dedup(spark, sf_dir):
-    """First arrival per user and type within the horizon; micro-batch order decides ties."""
+    """One arrival per user and type: the file is one micro-batch, inside which no key expires."""
     keyed = _event_stream(spark, sf_dir).withColumn("key", F.concat_ws(":", "user_id", "event_type"))
-    return _run(spark, jobs.drop_duplicates(keyed, ["key"]).select("key", "timestamp"), "stream-dedup")
+    return _run(spark, jobs.drop_duplicates(keyed, ["key"]).select("key"), "stream-dedup")
+
+
+@query("stream_dedup_exact", ORACLES["dedup_24h"])
+def stream_dedup_exact(spark, sf_dir):
+    out = shared_dir(spark, "stream-accepted")
+    keyed = _event_stream(spark, sf_dir).select(
+        F.concat_ws(":", "user_id", "event_type").alias("key"), "timestamp", "seq"
+    )
+    jobs.run_available(jobs.start_exact_dedup(keyed, ["key"], out, f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/accepted").select("key", "timestamp", "seq")
 
 
 @query("stream_raw_sink", check_sql("""

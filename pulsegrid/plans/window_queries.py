@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.timing import DAY, HOUR, MINUTE, SECOND
 from ..operators import analytics, routing, views
 from ..operators.sessions import session_windows
-from ..operators.windows import approx_metrics, finish_approx, sliding_counts, window_metrics
+from ..operators.windows import approx_metrics, finish_approx, sliding_counts, window_counts, window_metrics
 from ..sources.canonical import latest_ms, load_events
 from .fixtures import fired, metrics, tidy
 from .registry import check_sql, query
@@ -165,7 +165,8 @@ def daily_counts(spark, sf_dir):
 def dashboard(spark, sf_dir):
     events = load_events(spark, sf_dir)
     now = latest_ms(events)
-    board = analytics.dashboard(events, metrics(spark, sf_dir), fired(spark, sf_dir), now - F.lit(DAY), now, 1439)
+    windows = window_counts(events, 5 * MINUTE).withColumn("window_type", F.lit("tumbling_5m"))
+    board = analytics.dashboard(events, windows, fired(spark, sf_dir), now - F.lit(DAY), now, 1439)
     return board.withColumn("revenue", F.round("revenue", 4))
 
 

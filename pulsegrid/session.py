@@ -21,6 +21,8 @@ def build_session(app: str = "pulsegrid", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # A session that runs the whole set of queries needs more than the default 100 classes.
+        "spark.sql.codegen.cache.maxEntries": "2000",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -28,6 +30,23 @@ def build_session(app: str = "pulsegrid", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def sizing(input_bytes: int, partition_bytes: int = 128 * 1024**2, cores: int = 8) -> dict[str, str]:
+    """Shuffle settings for a job over `input_bytes`: many small partitions, merged by AQE.
+
+    AQE joins partitions that turn out small but cannot add any, so the first number follows the
+    input. 100 TB gives about 780,000 map-side splits; shuffled data is far less than the input
+    (narrow keys, combined on the map side), so a quarter of that, at most 100,000, is enough.
+    """
+    splits = max(1, input_bytes // partition_bytes)
+    first = min(max(cores, splits // 4), 100_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(first),
+        "spark.sql.shuffle.partitions": str(first),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def use_utc(spark: SparkSession) -> None:
     """Event time is UTC; casts take their zone from the session when the plan is built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -92,3 +92,25 @@ def encode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame
     fields = ["id", "tenant_id", "user_id", "event_type", "source", "timestamp", "labels"]
     body = F.struct(*fields, F.try_parse_json("payload").alias("payload"))
     return events.select(*(keep or []), F.col("tenant_id").alias("key"), F.to_json(body).alias("value"))
+
+
+def decode_protobuf_events(
+    messages: DataFrame, descriptor_path: str, message: str = "events.v1.Event", value: str = "value"
+) -> DataFrame:
+    """Events in the binary envelope; the payload field holds JSON bytes.
+
+    Needs the protobuf package of Spark on the class path and a descriptor file that executors
+    can read. A message that does not parse becomes an undecodable event.
+    """
+    from pyspark.sql.protobuf.functions import from_protobuf
+
+    parsed = messages.withColumn("_p", from_protobuf(value, message, descriptor_path, {"mode": "PERMISSIVE"}))
+    names = ["id", "tenant_id", "user_id", "event_type", "source", "timestamp", "version"]
+    bad = F.col("_p").isNull()
+    return parsed.select(
+        *[c for c in messages.columns if c != value],
+        *[F.col(f"_p.{n}").alias(n) for n in names],
+        F.nullif(F.col("_p.payload").cast("string"), F.lit("")).alias("payload"),
+        F.col("_p.labels").alias("labels"),
+        F.when(bad, F.lit(BAD_JSON)).alias("decode_error"),
+    )

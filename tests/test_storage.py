@@ -7,7 +7,7 @@ from pulsegrid.functions.timing import DAY, between_ms
 from pulsegrid.operators import analytics, views
 from pulsegrid.plans.fixtures import dirty
 from pulsegrid.operators.ingest import validate
-from pulsegrid.session import CHECKPOINT_KEY, cut_lineage, shared_dir
+from pulsegrid.session import CHECKPOINT_KEY, cut_lineage, shared_dir, sizing
 from pulsegrid.sources.canonical import load_events
 from pulsegrid.sources.tables import (
     expired_partitions, from_dead_letters, read_raw_events, replay, retain, table_health, to_dead_letters, write_raw_events,
@@ -138,3 +138,9 @@ def test_missing_days_by_brute_force(spark):
     days = {(t, ts - ts % DAY) for t, ts in rows}
     lo, hi = min(d for _, d in days), max(d for _, d in days)
     assert got == {(t, d) for t in {t for t, _ in days} for d in range(lo, hi + 1, DAY)} - days
+
+
+def test_sizing_follows_the_input():
+    small, large = sizing(10**6), sizing(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert large["spark.sql.shuffle.partitions"] == "100000"

@@ -84,6 +84,16 @@ def test_stream_dedup_keeps_the_first_within_the_horizon(spark, feed, tmp_path):
     assert got == [("a", 1), ("a", 3 * day + 1), ("b", 6), ("c", 3 * day)]
 
 
+def test_exact_dedup_over_micro_batches(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "d", "id string, timestamp bigint, seq bigint")
+    out, hour = str(tmp_path / "o"), 3_600_000
+    for rows in ([("a", 0, 1), ("a", 5, 2), ("b", hour, 3)], [("a", 20 * hour, 4), ("a", 24 * hour, 5), ("a", 25 * hour, 6)],
+                 [("a", 47 * hour, 7), ("b", 26 * hour, 8), ("a", 48 * hour, 9)]):
+        feed.add(rows)
+        jobs.run_available(jobs.start_exact_dedup(feed.stream(), ["id"], out, f"{out}/cp"))
+    assert sorted(r["seq"] for r in spark.read.parquet(f"{out}/accepted").collect()) == [1, 3, 5, 8, 9]
+
+
 def test_repeated_batch_leaves_no_copies(spark, tmp_path):
     write = jobs.per_batch_writer(str(tmp_path / "t"))
     for batch_id in (0, 1, 1, 0):
