@@ -159,6 +159,12 @@ def alerts_to_json(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.to_json(F.struct(*FIRED_ALERT.fieldNames())).alias("value"))
 
 
+def rules_to_json(rules: DataFrame) -> DataFrame:
+    """One JSON text per rule; an empty `slack_url` is left out."""
+    fields = [F.nullif(F.col(c), F.lit("")).alias(c) if c == "slack_url" else F.col(c) for c in ALERT_RULE.fieldNames()]
+    return rules.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
 def alerts_from_json(texts: DataFrame) -> DataFrame:
     return texts.select(F.from_json("value", FIRED_ALERT).alias("a")).select("a.*")
 

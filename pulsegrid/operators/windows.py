@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.timing import MINUTE, SECOND, TUMBLING, floor_ms
 
 KEYS = ["tenant_id", "event_type"]
-BANDS_PER_E = 256
+BANDS_PER_E = 32
 PERCENT = 99
 
 

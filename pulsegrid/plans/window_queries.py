@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import DAY, HOUR, MINUTE, SECOND
 from ..operators import analytics, routing, views
+from ..operators.ingest import flag_late, for_windows
 from ..operators.sessions import session_windows
 from ..operators.windows import approx_metrics, finish_approx, sliding_counts, window_counts, window_metrics
 from ..sources.canonical import latest_ms, load_events
@@ -20,6 +21,19 @@ def window_metrics_1m_5m_1h(spark, sf_dir):
     return tidy(metrics(spark, sf_dir))
 
 
+@query("window_metrics_on_time", check_sql("""
+    SELECT tenant_id, event_type, window_type, timestamp - timestamp % ms AS window_start,
+           timestamp - timestamp % ms + ms AS window_end, count(*) AS count, round(sum(value), 4) AS sum,
+           round(sum(value), 4) / count(*) AS avg, quantile_disc(value, 0.99) AS p99
+    FROM canon, lengths WHERE (seq % 20) * 60000 <= 300000 GROUP BY ALL""", "canon", "lengths"))
+def window_metrics_on_time(spark, sf_dir):
+    """Windows without events that arrived more than five minutes late."""
+    received = load_events(spark, sf_dir).withColumn(
+        "received_at", F.col("timestamp") + F.pmod("seq", F.lit(20)) * 60000
+    )
+    return tidy(window_metrics(for_windows(flag_late(received), "exclude")))
+
+
 @query("window_metrics_large", check_sql("""
     SELECT tenant_id, event_type, w AS window_type, timestamp - timestamp % ms AS window_start,
            timestamp - timestamp % ms + ms AS window_end, count(*) AS count, round(sum(value), 4) AS sum,

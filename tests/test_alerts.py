@@ -117,3 +117,10 @@ def test_new_rules(spark):
     names = "header_tenant name event_type metric operator threshold window severity slack_url".split()
     got = alerts.new_rules(spark.createDataFrame(rows, names), 99).collect()
     assert [(r["tenant_id"], r["enabled"], r["created_at"]) for r in got] == [("acme", True, 99)]
+
+
+def test_rule_json_omits_an_empty_url(spark):
+    rules = alerts.rules_frame(spark, [{}, {"id": "x", "slack_url": "hook"}])
+    texts = {json.loads(r["value"])["id"]: json.loads(r["value"]) for r in alerts.rules_to_json(rules).collect()}
+    assert "slack_url" not in texts["rule-default-error"] and texts["x"]["slack_url"] == "hook"
+    assert texts["rule-default-error"]["enabled"] is True
