@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.timing import col, floor_ms
 
 HOT_SHARE = 0.10
+MIN_HOT_SHARE = 0.001
 SHARDS = 8
 
 
@@ -31,6 +32,8 @@ def tenant_share(events: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
 
 def hot_tenants(events: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """Tenants over the share: fewer than 1/hot_share rows, by arithmetic."""
+    if hot_share < MIN_HOT_SHARE:
+        raise ValueError(f"hot_share must be at least {MIN_HOT_SHARE}, to bound the number of hot tenants")
     return tenant_share(events, hot_share).where("is_hot").select("tenant_id", "is_hot")
 
 
@@ -39,7 +42,7 @@ def with_route(
 ) -> DataFrame:
     """Routing key: `tenant` for quiet tenants, `tenant:shard` (or `tenant:user`) for hot ones.
 
-    `hot` comes from hot_tenants, at most a handful of rows, hence the broadcast.
+    `hot` comes from hot_tenants, which bounds it to fewer than 1,000 rows, hence the broadcast.
     """
     sub = F.col("user_id") if by_user else shard_of("user_id", shards).cast("string")
     joined = events.join(F.broadcast(hot.select("tenant_id", "is_hot")), "tenant_id", "left")
