@@ -64,7 +64,7 @@ _WEIGHT = """
 
 def _url_sql() -> str:
     split = {"host": f"translate(regexp_extract(url, '{urls.PARTS}', 2), '{UPPER}', '{UPPER.lower()}')", "path": f"regexp_extract(url, '{urls.PARTS}', 3)"}
-    two = rf"(?:^|\.)((?:{'|'.join(urls.SECOND_LEVEL)})\.[a-z]{{2}})$".replace("\\", "\")
+    two = rf"(?:^|\.)((?:{'|'.join(urls.SECOND_LEVEL)})\.[a-z]{{2}})$"
     rules, fits = sorted(urls.rules_from(URL_RULES), key=lambda r: -len(r.text)), []
     for r in rules:
         fits.append((f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r))
@@ -92,7 +92,7 @@ def _url_sql() -> str:
         SELECT page_id, j.host, path, {text} AS rule,
                coalesce({verdict}, CASE WHEN mean + 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
                coalesce(n, 0)::BIGINT AS host_labelled, coalesce(good, 0)::BIGINT AS host_good
-        FROM (SELECT * FROM judged) j LEFT JOIN (SELECT host AS h, n, good, a, b, mean FROM reputation) r ON r.h = j.host""".replace("CASE WHEN (host", "CASE WHEN (j.host")
+        FROM (SELECT * FROM judged) j LEFT JOIN (SELECT host AS h, n, good, a, b, mean FROM reputation) r ON r.h = j.host"""
 
 
 @query("op1_license_scan", _licence_sql())
