@@ -35,7 +35,7 @@ def _licence_sql() -> str:
 
     def hit(column: int) -> str:
         each = ", ".join(f"CASE WHEN h{i} THEN '{r[column]}' END" for i, r in enumerate(licences.RULES))
-        return f"array_to_string(list_sort(list_distinct(list_filter([{each}], x -> x IS NOT NULL))), ',')"
+        return f"array_to_string(list_sort(list_distinct(list_filter([{each}], lambda x: x IS NOT NULL))), ',')"
 
     return f"""
         WITH known(id, sentence) AS (VALUES {known}),
