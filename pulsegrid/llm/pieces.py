@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from pulsegrid.llm.common import Cache, slices, texts_of
 
@@ -110,7 +111,7 @@ def codec(model_file: str) -> PieceCodec:
 def encode_pieces(docs: DataFrame, model_file: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with the column `ids` (array of int), replaced if it exists; null and empty texts have no ids."""
     docs = docs.drop(ids)
-    schema = docs.schema.add(ids, "array<int>")
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_file)

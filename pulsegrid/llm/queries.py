@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import licences, pieces, urls
+from pulsegrid.llm import edit_prints, licences, packing, pieces, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.regexp_extract(urls.url_path(F.col("url")), r"^/[^/]*/(\d{1,18})", 1).try_cast("long")
     outcomes = pages.select("url", number.alias("doc_id")).where("doc_id IS NOT NULL").join(labels, "doc_id").select("url", F.col("quality").alias("good"))
     return urls.filter_urls(pages, outcomes, urls.rules_from(URL_RULES)).select("page_id", "host", "path", "rule", "verdict", "host_labelled", "host_good")
+
+
+@query("op2_edit_fingerprint")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every whole text and of its edited text, and their likeness."""
+    return edit_prints.edited_prints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces of at most 2048 ids, and the sequence and place of each piece."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
