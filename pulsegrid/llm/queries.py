@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, licences, packing, pieces, urls
+from pulsegrid.llm import edit_prints, licences, packing, pieces, quality, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,7 +79,7 @@ def _url_sql() -> str:
     return f"""
         WITH judged AS (SELECT page_id, coalesce({split["host"]}, '') AS host, coalesce({split["path"]}, '') AS path FROM pages),
         outcomes AS (SELECT host, quality AS good FROM judged
-                     JOIN labels ON doc_id = try_cast(regexp_extract(path, '^/[^/]*/(\d{{1,18}})', 1) AS BIGINT)),
+                     JOIN labels ON doc_id = try_cast(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1) AS BIGINT)),
         named AS (SELECT *, CASE WHEN regexp_matches(host, '{two}') THEN regexp_extract(host, '{two}', 1)
                                  ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix FROM outcomes),
         domains AS (SELECT *, CASE WHEN host = suffix THEN host
@@ -131,3 +131,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as pieces of at most 2048 ids, and the sequence and place of each piece."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learned from labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit_quality(docs, quality.learnable(table(spark, sf_dir, "labels", "doc_id", "quality")))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scored = quality.score_quality(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
