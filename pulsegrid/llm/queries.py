@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, licences, packing, pieces, quality, urls
+from pulsegrid.llm import edit_prints, licences, packing, pieces, quality, rules, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     scored = quality.score_quality(docs, model, keep=["doc_id"])
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every whole text, the base rules, and the verdict of the robust distance per language and source."""
+    judged = rules.judge_quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", F.round("distance", 3).alias("distance"))
