@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, licences, packing, pieces, quality, rules, urls
+from pulsegrid.llm import edit_prints, licences, packing, pages, pieces, quality, rules, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,11 +113,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_url_filter", _url_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page url. Labelled outcomes: the quality label of the document that a path's number names."""
-    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    urls_ = table(spark, sf_dir, "pages", "page_id", "url")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
     number = F.regexp_extract(urls.url_path(F.col("url")), r"^/[^/]*/(\d{1,18})", 1).try_cast("long")
-    outcomes = pages.select("url", number.alias("doc_id")).where("doc_id IS NOT NULL").join(labels, "doc_id").select("url", F.col("quality").alias("good"))
-    return urls.filter_urls(pages, outcomes, urls.rules_from(URL_RULES)).select("page_id", "host", "path", "rule", "verdict", "host_labelled", "host_good")
+    outcomes = urls_.select("url", number.alias("doc_id")).where("doc_id IS NOT NULL").join(labels, "doc_id").select("url", F.col("quality").alias("good"))
+    return urls.filter_urls(urls_, outcomes, urls.rules_from(URL_RULES)).select("page_id", "host", "path", "rule", "verdict", "host_labelled", "host_good")
 
 
 @query("op2_edit_fingerprint")
@@ -149,3 +149,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge_quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept", F.round("distance", 3).alias("distance"))
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
