@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, licences, packing, pages, pieces, quality, rules, urls
+from pulsegrid.llm import edit_prints, licences, minhash, packing, pages, pieces, quality, rules, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return pages.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op3_minhash_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by 4-word shingles at 0.8."""
+    return minhash.near_components(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, percent=80)
