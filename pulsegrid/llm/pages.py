@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.common import written
 from pulsegrid.llm.urls import url_host
 
 GROUP = 48  # pages of a host that a template is deduced from together, about
@@ -202,13 +203,15 @@ def extract_pages(pages: DataFrame, *, key: str = "page_id", url: str = "url", p
     parts comes from counts per host, joined by measured size. Pages without host form parts as well. Null
     pages have an empty text, and so do pages with nothing left; blocks are joined by two line feeds.
     """
-    hosts = pages.select(url_host(F.col(url)).alias("__host")).groupBy("__host").agg(F.ceil(F.count("*") / GROUP).alias("__parts"))
+    large = pages.select(url_host(F.col(url)).alias("__host")).groupBy("__host").agg(F.ceil(F.count("*") / GROUP).alias("__parts")).where("__parts > 1")
     rows = pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"), F.coalesce(F.col(page), F.lit("")).alias("__html"), url_host(F.col(url)).alias("__host"))
-    rows = rows.join(hosts, "__host").withColumn("__part", F.pmod(F.xxhash64("__key", "__url"), F.col("__parts")))
+    part = F.coalesce(F.pmod(F.xxhash64("__key", "__url"), "__parts"), F.lit(0).cast("long"))
+    # a group has one key of its own: were it keyed by host and part, Spark could deal it by host alone
+    rows = rows.join(written(large, "hosts"), "__host", "left").select("__key", "__url", "__html", F.concat_ws("/", "__host", part).alias("__group"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         texts = extract_group(frame["__html"].tolist())
         return pd.DataFrame({key: frame["__key"], "url": frame["__url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     kind = pages.schema[key].dataType.simpleString()
-    return rows.select("__key", "__url", "__html", "__host", "__part").groupBy("__host", "__part").applyInPandas(run, f"`{key}` {kind}, url string, text string, n_chars long")
+    return rows.groupBy("__group").applyInPandas(run, f"`{key}` {kind}, url string, text string, n_chars long")
