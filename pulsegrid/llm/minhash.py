@@ -7,7 +7,8 @@ of 2 in 10,000. Every candidate is confirmed on the full shingle sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,38 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import texts_of, written
 from pulsegrid.llm.components import components
 
-GROUPS, PER_GROUP = 16, 3
-HASHES = GROUPS * PER_GROUP
-# Fewest equal minhashes of a candidate: a pair at 0.8 has 38 of 48 on average, and fewer than 26 once in 100,000.
-LEAST_EQUAL = 26
 BLOCK = 1024  # members of a table entry that one task compares at a time
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a signature is cut: `groups` of `per_group` numbers of `dtype`; tables are groups, or pairs of them if `paired`.
+
+    `least_equal` numbers must be equal for a pair to be a candidate; it lies more than four deviations below
+    what a pair at the threshold has on average.
+    """
+
+    groups: int
+    per_group: int
+    dtype: str
+    paired: bool
+    least_equal: int
+
+    @property
+    def hashes(self) -> int:
+        return self.groups * self.per_group
+
+    @property
+    def width(self) -> int:
+        return np.dtype(self.dtype).itemsize
+
+    def group(self, i: int) -> Column:
+        size = self.per_group * self.width
+        return F.substring("sig", 1 + size * i, size)
+
+
+DOCUMENTS = Layout(groups=16, per_group=3, dtype="u4", paired=True, least_equal=26)
+GROUPS, HASHES = DOCUMENTS.groups, DOCUMENTS.hashes
 _RNG = np.random.default_rng(97)
 _MUL = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _ADD = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -72,17 +100,13 @@ def signatures(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
-def _group(i: int) -> Column:
-    return F.substring("sig", 1 + 4 * PER_GROUP * i, 4 * PER_GROUP)
-
-
 def tables(heads: DataFrame) -> DataFrame:
     """(id, pair, entry): the table entries of `heads` (id, sig) that a second id may share.
 
     First each of the 16 groups is counted on its own. Two ids that share a table share both of its groups, so
     only ids with two or more shared groups go on, and only with those groups.
     """
-    parts = heads.select("id", F.posexplode(F.array(*(F.xxhash64(_group(i)) for i in range(GROUPS)))).alias("i", "h"))
+    parts = heads.select("id", F.posexplode(F.array(*(F.xxhash64(DOCUMENTS.group(i)) for i in range(GROUPS)))).alias("i", "h"))
     busy = parts.groupBy("i", "h").agg(F.count("*").alias("n")).where("n > 1").select("i", "h")
     shared = parts.join(busy, ["i", "h"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("gs")).where(F.size("gs") > 1)
     pairs = F.flatten(
@@ -116,31 +140,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int
     return written(links.select("a", "b").distinct(), "links")
 
 
-def _equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x == y).sum(axis=-1)
-
-
-def _compare(ids, comps, sizes, pair, sigs, query, percent) -> list[tuple]:
+def _compare(ids, comps, sizes, pair, sigs, query, percent, layout) -> list[tuple]:
     """Pairs of one table entry that may be similar: query rows against all, each pair in the first table it shares only."""
-    out, groups = [], sigs.reshape(len(sigs), GROUPS, PER_GROUP)
-    first, second = divmod(pair, GROUPS)
+    out, groups = [], sigs.reshape(len(sigs), layout.groups, layout.per_group)
+    wanted = list(divmod(pair, layout.groups)) if layout.paired else [pair]
     for q in np.flatnonzero(query):
-        # a query meets queries after it, and all rows that are none
-        other = np.flatnonzero((comps != comps[q]) & (~query | (ids > ids[q])) & (100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])))
-        if not len(other):
-            continue
-        equal = _equal(sigs[other], sigs[q])
-        other, equal = other[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+        # a query meets queries with a larger id, and all rows that are none
+        close = 100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])
+        other = np.flatnonzero((comps != comps[q]) & (~query | (ids > ids[q])) & close)
+        equal = (sigs[other] == sigs[q]).sum(axis=1)
+        other, equal = other[equal >= layout.least_equal], equal[equal >= layout.least_equal]
         if not len(other):
             continue
         same = (groups[other] == groups[q]).all(axis=2)
-        at = np.argsort(~same, axis=1, kind="stable")[:, :2]
-        own = (at[:, 0] == first) & (at[:, 1] == second)
+        own = (np.argsort(~same, axis=1, kind="stable")[:, : len(wanted)] == wanted).all(axis=1)
         out.extend((int(ids[q]), int(ids[o]), int(e)) for o, e in zip(other[own], equal[own], strict=True))
     return out
 
 
-def crossing(entries: DataFrame, heads: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def crossing(entries: DataFrame, heads: DataFrame, known: DataFrame, percent: int, layout: Layout) -> DataFrame:
     """(a, b, equal): likely similar pairs that share a table entry and are not yet in one component.
 
     An entry whose ids are all in one component needs no work. In any other, the ids outside its most common
@@ -174,11 +192,11 @@ def crossing(entries: DataFrame, heads: DataFrame, known: DataFrame, percent: in
             cuts = np.flatnonzero((entry[1:] != entry[:-1]) | (block[1:] != block[:-1]) | (pair[1:] != pair[:-1])) + 1
             ends = [*cuts.tolist(), *([rest.num_rows] if batch is None else [])]  # the last run may go on in the next batch
             ids, comps, sizes, query, away = (column(c) for c in ("id", "comp", "n_shingles", "query", "away"))
-            sigs = np.frombuffer(b"".join(rest.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+            sigs = np.frombuffer(b"".join(rest.column("sig").to_pylist()), layout.dtype).reshape(-1, layout.hashes)
             found, start = [], 0
             for end in ends:
                 s = slice(start, end)
-                found.extend(_block(ids[s], comps[s], sizes[s], int(pair[start]), sigs[s], query[s], away[s], percent))
+                found.extend(_block(ids[s], comps[s], sizes[s], int(pair[start]), sigs[s], query[s], away[s], percent, layout))
                 start = end
             rest = rest.slice(start)
             a, b, e = zip(*found, strict=True) if found else ((), (), ())
@@ -192,10 +210,10 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def _block(ids, comps, sizes, pair, sigs, query, away, percent) -> list[tuple]:
+def _block(ids, comps, sizes, pair, sigs, query, away, percent, layout) -> list[tuple]:
     """Query rows against the rows whose own block this is."""
     if not away.any():
-        return _compare(ids, comps, sizes, pair, sigs, query, percent)
+        return _compare(ids, comps, sizes, pair, sigs, query, percent, layout)
     out, home = [], ~away
     for q in np.flatnonzero(query):
         pick = home.copy()
@@ -205,11 +223,45 @@ def _block(ids, comps, sizes, pair, sigs, query, away, percent) -> list[tuple]:
         ask[np.searchsorted(at, q)] = True
         # this meets queries at home in this block as well, from either side; their pairs are put in one order
         asks = set(ids[at][query[at]].tolist())
-        for a, b, e in _compare(ids[at], comps[at], sizes[at], pair, sigs[at], ask, percent):
+        for a, b, e in _compare(ids[at], comps[at], sizes[at], pair, sigs[at], ask, percent, layout):
             out.append((b, a, e) if b in asks and b < a else (a, b, e))
     return out
 
 
+def clustered(entries: DataFrame, heads: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int, layout: Layout) -> DataFrame:
+    """(node, root) of the components of ids whose pairs `confirm` keeps; ids without a link are not returned.
+
+    `entries` (id, pair, entry) are written table entries, `heads` (id, n_shingles, sig) their ids. Each id is first
+    paired with the one partner it shares most tables with; once components are known, only pairs across
+    components are left, the two best of an id and a component first. A group of thousands of near copies so
+    costs about one pair per member, and no link between components is lost.
+    """
+    # The first id of an entry, by a random order that all entries share, is the partner of the others.
+    first = entries.groupBy("pair", "entry").agg(F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("a"))).alias("f"))
+    met = entries.join(first.select("pair", "entry", "f.a"), ["pair", "entry"]).where("id <> a")
+    best = met.groupBy("id", "a").agg(F.count("*").alias("n")).groupBy("id").agg(F.max(F.struct("n", "a")).alias("m"))
+    side = lambda c: heads.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
+    number = lambda c, k: F.expr(c).substr(layout.width * k + 1, F.lit(layout.width))
+    equal = F.aggregate(F.sequence(F.lit(0), F.lit(layout.hashes - 1)), F.lit(0), lambda n, k: n + (number("sa", k) == number("sb", k)).cast("int"))
+    likely = best.select("m.a", F.col("id").alias("b")).join(side("a"), "a").join(side("b"), "b")
+    likely = likely.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where(equal >= layout.least_equal)
+    links = confirm(written(likely.select("a", "b"), "pairs"))
+    known = written(components(links), "components")
+    cross = written(crossing(entries, heads, known, percent, layout), "crossing")
+    comp = known.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    top = Window.partitionBy("a", "rb").orderBy(F.desc("equal"), "b")
+    ranked = cross.join(comp, "b", "left").withColumn("rb", F.coalesce("rb", "b")).withColumn("r", F.row_number().over(top))
+    ranked = written(ranked.select("a", "b", "r"), "ranked")
+    if ranked.isEmpty():
+        return known
+    links = links.union(confirm(ranked.where("r <= 2").select("a", "b")))
+    known = written(components(links), "components")
+    root = lambda c: known.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    rest = ranked.where("r > 2").select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left")
+    rest = written(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "rest")
+    return known if rest.isEmpty() else written(components(links.union(confirm(rest))), "components")
+
+
 def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """Per row of `docs`: `key`, n_shingles, component_id and kept.
 
@@ -219,37 +271,15 @@ def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     empty texts and those without words have no shingles and are linked with nothing. A null key has a null
     component and is kept. Rows that repeat a key are one document.
 
-    Work on a table entry grows with its ids: each id is first paired with the one partner it shares most
-    tables with; once components are known, only pairs across components are left, best first. A group of
-    thousands of near copies so costs about one pair per member. Every step is written to the shared folder.
+    Every step is written to the shared folder.
     """
     signed = written(signatures(docs, key, text, width), "signatures")
     full = signed.where("n_shingles > 0 AND __id IS NOT NULL")
     nodes = full.groupBy("__set", "n_shingles").agg(F.min("__id").alias("id"), F.first("__sig").alias("sig"))
     heads = written(nodes, "nodes")
     entries = written(tables(heads.select("id", "sig")), "tables")
-    # The first id of an entry, by a random order that all entries share, is the partner of the others.
-    first = entries.groupBy("pair", "entry").agg(F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("a"))).alias("f"), F.count("*").alias("n")).where("n > 1")
-    met = entries.join(first.select("pair", "entry", "f.a"), ["pair", "entry"]).where("id <> a")
-    best = met.groupBy("id", "a").agg(F.count("*").alias("n")).groupBy("id").agg(F.max(F.struct("n", "a")).alias("m"))
-    side = lambda c: heads.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
-    equal = F.aggregate(F.sequence(F.lit(0), F.lit(HASHES - 1)), F.lit(0), lambda n, k: n + (F.expr("sa").substr(4 * k + 1, F.lit(4)) == F.expr("sb").substr(4 * k + 1, F.lit(4))).cast("int"))
-    likely = best.select("m.a", F.col("id").alias("b")).join(side("a"), "a").join(side("b"), "b")
-    likely = likely.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where(equal >= LEAST_EQUAL)
-    links = confirmed(written(likely.select("a", "b"), "pairs"), docs, key, text, width, percent)
-    known = written(components(links), "components")
-    cross = written(crossing(entries, heads, known, percent), "crossing")
-    comp = known.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    top = Window.partitionBy("a", "rb").orderBy(F.desc("equal"), "b")
-    ranked = cross.join(comp, "b", "left").withColumn("rb", F.coalesce("rb", "b")).withColumn("r", F.row_number().over(top))
-    likely = ranked.where("r <= 2").select("a", "b")
-    links = links.union(confirmed(likely, docs, key, text, width, percent))
-    known = written(components(links), "components")
-    side = lambda c: known.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    rest = ranked.where("r > 2").select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    rest = written(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "rest")
-    if not rest.isEmpty():
-        known = written(components(links.union(confirmed(rest, docs, key, text, width, percent))), "components")
+    confirm = lambda pairs: confirmed(pairs, docs, key, text, width, percent)
+    known = clustered(entries, heads, confirm, percent, DOCUMENTS)
     roots = heads.join(known, F.col("id") == F.col("node"), "left").select("__set", "n_shingles", F.coalesce("root", "id").alias("root"))
     out = signed.join(roots, ["__set", "n_shingles"], "left").withColumn("component_id", F.coalesce("root", "__id"))
     kept = F.coalesce(F.col("__id") == F.col("component_id"), F.lit(True))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, licences, minhash, packing, pages, pieces, quality, rules, urls
+from pulsegrid.llm import edit_prints, fuzzy_lines, licences, minhash, packing, pages, pieces, quality, rules, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by 4-word shingles at 0.8."""
     return minhash.near_components(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, percent=80)
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its lines and the text that is left when one line of each component stays."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    lines = F.size(F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
+    return fuzzy_lines.dedup_lines(docs.withColumn("n_lines", lines)).withColumn("n_kept", lines)
