@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,7 +51,7 @@ def slices(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[pa.Recor
 
 
 class Cache(dict):
-    """A dict that a worker keeps between batches; it is emptied when it holds `limit` entries, so memory stays bounded."""
+    """A dict that a worker keeps between batches; above `limit` entries the older half goes, so memory stays bounded."""
 
     def __init__(self, limit: int):
         super().__init__()
@@ -58,4 +59,5 @@ class Cache(dict):
 
     def trim(self) -> None:
         if len(self) > self.limit:
-            self.clear()
+            for k in list(islice(self, len(self) // 2)):
+                del self[k]

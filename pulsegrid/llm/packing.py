@@ -13,50 +13,68 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from pulsegrid.llm.common import Cache, texts_of, written
 
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS, CACHED_WORDS = 500_000, 400_000
+LATIN = "\u024f"  # the last letter of the blocks whose classes and lower case are the same in all Unicode versions
 # Fixed value: how the tokenizer cuts a chunk without white space before its merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 class ChunkTokenizer:
-    """The tokenizer's ids by way of a bounded cache of chunks between spaces.
+    """The tokenizer's ids by way of bounded caches of chunks between spaces and of the words in them.
 
-    This kind of tokenizer drops white space and never merges across it, so the ids of a text are those of
-    its chunks in order. Unknown chunks are encoded together and cut apart at the ids that end a word.
+    This kind of tokenizer drops white space, cuts what is left into words and never merges across them, so the
+    ids of a text are those of its words in order. Words with Latin letters only are cut and lower-cased here,
+    and unknown ones encoded together; the ids that end a word tell them apart. Other chunks go whole through
+    the tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tokenizer.model)  # the same merges for words that are cut already
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), byte_level])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.chunks = Cache(CACHED_CHUNKS)
-        self.normalize = self.tokenizer.normalizer.normalize_str
+        self.chunks, self.words = Cache(CACHED_CHUNKS), Cache(CACHED_WORDS)
+
+    def _learn_words(self, words: list[str]) -> None:
+        ids = np.array(self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+        if len(cuts) != len(words) + 1:
+            raise ValueError("the tokenizer does not end each word with an id of its own")
+        raw = ids.tobytes()
+        self.words.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False))
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [len(WORDS.findall(self.normalize(c))) for c in chunks]
-        ids = np.array(self.tokenizer.encode(" ".join(chunks), add_special_tokens=False).ids, np.uint32)
-        last = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.empty(0, int)
-        if len(last) != sum(words) or (len(ids) and (not len(last) or last[-1] != len(ids))):  # not cut as expected: one by one
-            for c in chunks:
+        cut = {}
+        for c in chunks:
+            if c and max(c) > LATIN or "<|" in c:
                 self.chunks[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-            return
-        bounds = np.concatenate([[0], last])[np.concatenate([[0], np.cumsum(words)])].tolist()
-        raw = ids.astype("<u4").tobytes()
-        for c, a, b in zip(chunks, bounds, bounds[1:], strict=False):
-            self.chunks[c] = raw[4 * a : 4 * b]
+            elif (low := c.lower()).isalpha():
+                cut[c] = (low,)
+            elif low[:-1].isalpha() and not low[-1].isalnum() and not low[-1].isspace() and low[-1] != "'":
+                cut[c] = (low[:-1], low[-1])
+            else:
+                cut[c] = WORDS.findall(low)
+        known = self.words
+        unknown = [w for w in set().union(*cut.values()) if w not in known]
+        for i in range(0, len(unknown), 4096):
+            self._learn_words(unknown[i : i + 4096])
+        self.chunks.update((c, b"".join([known[w] for w in words])) for c, words in cut.items())
+        known.trim()
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, unsigned 32-bit little-endian."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.chunks
-        unknown = list({c for chunks in split for c in chunks if c not in known})
-        for i in range(0, len(unknown), 4096):
-            self._learn(unknown[i : i + 4096])
+        unknown = [c for c in set().union(*split) if c not in known]
+        if unknown:
+            self._learn(unknown)
         out = [b"".join([known[c] for c in chunks]) for chunks in split]
         known.trim()
         return out
