@@ -196,9 +196,10 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", per
     """
     gone = written(duplicate_lines(docs, key=key, text=text, percent=percent), "dropped")
     same = (docs[key] == gone["__key"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == gone["__hash"])
-    joined = docs.join(gone.withColumnRenamed("dropped", "__dropped"), same, "left")
-    left = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("__dropped", i))
-    cleaned = joined.withColumn("__clean", F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
+    dropped = gone["dropped"]
+    left = F.filter(F.split(docs[text], "\n"), lambda _, i: ~F.array_contains(dropped, i))
+    clean = F.when(dropped.isNull(), docs[text]).otherwise(F.array_join(left, "\n"))
+    joined = docs.join(gone, same, "left")
     if not empty:
-        cleaned = cleaned.where(F.col("__dropped").isNull() | F.col("__clean").rlike(r"[^\x20\x09-\x0D]"))
-    return cleaned.select(*(F.col("__clean").alias(c) if c == text else docs[c] for c in docs.columns))
+        joined = joined.where(dropped.isNull() | clean.rlike(r"[^\x20\x09-\x0D]"))
+    return joined.select(*(clean.alias(c) if c == text else docs[c] for c in docs.columns))
