@@ -239,7 +239,7 @@ def alert_delay(
     """First alert at or after each anomaly of the same tenant and type, and the delay.
 
     A forward as-of join without pairing: both sides are merged per key and day and the next
-    alert is looked up by a window function. An anomaly with no later alert on its day takes the
+    alert is looked up by a window function that reads backwards in time. An anomaly with no later alert on its day takes the
     first alert of the next day that has one, found over one row per key and day.
     """
     keys = ["tenant_id", "event_type"]
@@ -247,11 +247,11 @@ def alert_delay(
     left = anomalies.select(*keys, F.col(at).alias("_t"), F.lit(None).cast("bigint").alias("_alert"))
     right = alerts.select(*keys, F.col("fired_at").alias("_t"), F.col("fired_at").alias("_alert"))
     both = left.unionByName(right).withColumn("_chunk", chunk("_t"))
-    ahead = W.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(W.currentRow, W.unboundedFollowing)
-    near = both.withColumn("_near", F.first("_alert", ignorenulls=True).over(ahead)).where("_alert IS NULL")
+    ahead = W.partitionBy(*keys, "_chunk").orderBy(F.desc("_t")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    near = both.withColumn("_near", F.last("_alert", ignorenulls=True).over(ahead)).where("_alert IS NULL")
     firsts = both.groupBy(*keys, "_chunk").agg(F.min("_alert").alias("_first"))
-    later = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, W.unboundedFollowing)
-    next_day = firsts.select(*keys, "_chunk", F.first("_first", ignorenulls=True).over(later).alias("_next"))
+    later = W.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
+    next_day = firsts.select(*keys, "_chunk", F.last("_first", ignorenulls=True).over(later).alias("_next"))
     alert_at = F.coalesce("_near", "_next")
     delay = F.col("alert_at") - F.col(at)
     return (

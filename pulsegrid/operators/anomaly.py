@@ -70,9 +70,14 @@ def running_counts(
         .select(*cell, F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
     )
     local = F.row_number().over(W.partitionBy(*cell).orderBy(ts, seq))
+    offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(cell)], "_before")
+    same = F.lit(True)
+    for i, c in enumerate(cell):
+        same = same & F.col(c).eqNullSafe(F.col(f"_o{i}"))
     return (
         parts.withColumn("_local", local)
-        .join(offsets, cell)
+        .join(offsets, same)
+        .drop(*[f"_o{i}" for i in range(len(cell))])
         .withColumn("running_count", F.col("_local") + F.col("_before"))
         .drop("_local", "_before", "_sub")
     )

@@ -186,17 +186,19 @@ def drop_duplicates(
 def drop_seen(
     increment: DataFrame, seen: DataFrame, keys: list[str], ts: str = "timestamp", ttl_ms: int = DEDUP_TTL
 ) -> DataFrame:
-    """Increment rows whose key was not accepted within the period before them.
+    """Increment rows whose key has no accepted row less than the period before or after them.
 
-    `seen` holds accepted arrivals before the increment. Only the last one per key can still
-    block a later row, so it is reduced to one row per key first.
+    `seen` holds accepted rows from before the increment, in any order. Times are cut into slots of one
+    period; an accepted row can only block rows of its own and the neighbouring slots, so the join is on
+    equal keys and slots. Rows older than all accepted ones pass.
     """
-    last = seen.groupBy(*keys).agg(F.max(ts).alias("_seen"))
-    blocked = [increment[k] == last[k] for k in keys] + [increment[ts] - last["_seen"] < ttl_ms]
-    cond = blocked[0]
-    for extra in blocked[1:]:
-        cond = cond & extra
-    return increment.join(last, cond, "left_anti")
+    slot = F.expr(f"({ts} - pmod({ts}, {ttl_ms}L)) div {ttl_ms}L")
+    known = seen.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(ts).alias("_seen"), slot.alias("_s"))
+    known = known.distinct().withColumn("_slot", F.explode(F.expr("sequence(_s - 1, _s + 1)"))).drop("_s")
+    cond = (slot == known["_slot"]) & (F.abs(increment[ts] - known["_seen"]) < ttl_ms)
+    for i, k in enumerate(keys):
+        cond = cond & (increment[k] == known[f"_k{i}"])
+    return increment.join(known, cond, "left_anti")
 
 
 def dedup_increment(

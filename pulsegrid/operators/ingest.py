@@ -109,13 +109,13 @@ def flag_late(df: DataFrame, received_at: str = "received_at", after_ms: int = L
 
 
 def for_windows(flagged: DataFrame, late_policy: str = "include") -> DataFrame:
-    """Events that windows count: all of them, or with `exclude` those not flagged late.
+    """Events that windows count: all of them, or with `exclude` those not flagged late (unknown arrival: not late).
 
     Either way late events stay in storage.
     """
     if late_policy not in ("include", "exclude"):
         raise ValueError("late_policy is include or exclude")
-    return flagged if late_policy == "include" else flagged.where("NOT is_late")
+    return flagged if late_policy == "include" else flagged.where("NOT coalesce(is_late, false)")
 
 
 def accept(df: DataFrame, now_ms: int | Column, id_expr: Column | None = None, **dedup) -> DataFrame:

@@ -37,9 +37,12 @@ def rate_limited(
     ).select(key, "_t", "_n", "_s.span", "_s.own")
     recent = W.partitionBy(key, "span").orderBy("_t").rangeBetween(-(span_ms - 1), W.currentRow)
     counts = spread.withColumn("recent_count", F.sum("_n").over(recent)).where("own")
+    counts = counts.select(F.col(key).alias("_key"), "_t", "recent_count")
+    same = events[key].eqNullSafe(counts["_key"]) & events[ts].eqNullSafe(counts["_t"])
     return (
-        events.join(counts.select(key, F.col("_t").alias(ts), "recent_count"), [key, ts])
-        .withColumn("is_limited", F.col("recent_count") > limit)
+        events.join(counts, same, "left")
+        .drop("_key", "_t")
+        .withColumn("is_limited", F.coalesce(F.col("recent_count") > limit, F.lit(False)))
         .withColumn("http_status", F.when(F.col("is_limited"), F.lit(429)).otherwise(F.lit(202)))
     )
 
@@ -136,11 +139,16 @@ def error_ratio(
 
 
 def throughput(
-    events: DataFrame, step_ms: int, keys: list[str], threshold: float, below: bool, per_ms: int = SECOND
+    events: DataFrame, step_ms: int, keys: list[str], threshold: float, below: bool, per_ms: int = SECOND,
+    ts: str = "timestamp",
 ) -> DataFrame:
-    """Event rate per `per_ms` of every step, empty steps included, against a threshold."""
+    """Event rate per `per_ms` of every step, empty steps included, against a threshold.
+
+    Steps run on to the newest step of any key, so a key that has fallen silent is seen as well.
+    """
     rate = F.col("count") * F.lit(per_ms / step_ms)
-    return fill_empty(window_counts(events, step_ms, keys), step_ms, keys).withColumn("rate", rate).withColumn(
+    newest = events.select(F.max(floor_ms(ts, step_ms))).scalar()
+    return fill_empty(window_counts(events, step_ms, keys, ts), step_ms, keys, newest).withColumn("rate", rate).withColumn(
         "breach", (rate < threshold) if below else (rate > threshold)
     )
 

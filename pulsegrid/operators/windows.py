@@ -30,7 +30,7 @@ PERCENT = 99
 
 def value_band(value: str, bands: int = BANDS_PER_E) -> Column:
     """Order-preserving band of a double: log1p is monotonic, so is its floor."""
-    return F.expr(f"cast(signum({value}) * floor(log1p(abs({value})) * {bands}) as bigint)")
+    return F.expr(f"try_cast(signum({value}) * floor(log1p(abs({value})) * {bands}) as bigint)")
 
 
 def explode_windows(df: DataFrame, durations: dict[str, int], ts: str) -> DataFrame:
@@ -47,8 +47,15 @@ def _length(durations: dict[str, int]) -> str:
     return f"CASE window_type {cases} END"
 
 
-def _not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
+def countable(df: DataFrame, keys: list[str], ts: str, value: str, weight: str | None) -> DataFrame:
+    """The columns that windows need, so that every event with a time counts.
+
+    A value that is null or not finite counts as 1.0, like one that is no number; a null text key is empty.
+    """
+    finite = F.when(F.col(value).cast("double").between(-1.7976931348623157e308, 1.7976931348623157e308), F.col(value))
+    named = [F.coalesce(F.col(k), F.lit("")).alias(k) if dict(df.dtypes)[k] == "string" else F.col(k) for k in keys]
+    columns = [*named, F.col(ts), F.coalesce(finite, F.lit(1.0)).alias(value), *([F.col(weight)] if weight else [])]
+    return df.select(*columns).where(F.col(ts).isNotNull())
 
 
 def _cells(
@@ -135,9 +142,9 @@ def window_metrics(
     base, longest = min(durations.values()), max(durations.values())
     if any(ms % base or longest % ms for ms in durations.values()):
         raise ValueError("window lengths must nest")
-    # Stating the null filters here, and using every column of the cells in both readers, keeps
-    # the two plans identical down to the exchange, so Spark runs it once.
-    slim = _not_null(events.select(*keys, ts, value, *([weight] if weight else [])), [*keys, ts, value])
+    # Columns without nulls, and using every column of the cells in both readers, keep the two plans
+    # identical down to the exchange, so Spark runs it once.
+    slim = countable(events, keys, ts, value, weight)
     cells = explode_windows(_cells(slim, keys, base, ts, value, weight, bands), durations, "_base")
     group = [*keys, "window_type", "window_start"]
     totals = cells.groupBy(*group).agg(

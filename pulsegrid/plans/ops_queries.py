@@ -27,7 +27,7 @@ def rate_limited(spark, sf_dir):
 
 
 _HOURS = """
-    , f AS (SELECT tenant_id, unnest(range(min(timestamp // 3600000), max(timestamp // 3600000) + 1)) AS h FROM canon GROUP BY tenant_id),
+    , f AS (SELECT tenant_id, unnest(range(min(timestamp // 3600000), (SELECT max(timestamp // 3600000) FROM canon) + 1)) AS h FROM canon GROUP BY tenant_id),
     c AS (SELECT tenant_id, timestamp // 3600000 AS h, count(*) AS n FROM canon GROUP BY ALL),
     s AS (SELECT f.tenant_id, f.h * 3600000 AS window_start, coalesce(n, 0) AS count FROM f LEFT JOIN c USING (tenant_id, h))
     """
@@ -42,7 +42,7 @@ def throughput_drop(spark, sf_dir):
 
 @query("error_burst", check_sql("""
     , e AS (SELECT * FROM canon WHERE event_type = 'error'),
-    f AS (SELECT tenant_id, unnest(range(min(timestamp // 3600000), max(timestamp // 3600000) + 1)) AS h FROM e GROUP BY tenant_id),
+    f AS (SELECT tenant_id, unnest(range(min(timestamp // 3600000), (SELECT max(timestamp // 3600000) FROM e) + 1)) AS h FROM e GROUP BY tenant_id),
     c AS (SELECT tenant_id, timestamp // 3600000 AS h, count(*) AS n FROM e GROUP BY ALL)
     SELECT f.tenant_id, f.h * 3600000 AS window_start, coalesce(n, 0) AS count,
            coalesce(n, 0) * (3600000 / 3600000.0) AS rate, coalesce(n, 0) * 1.0 > 3.0 AS breach

@@ -21,6 +21,17 @@ def window_metrics_1m_5m_1h(spark, sf_dir):
     return tidy(metrics(spark, sf_dir))
 
 
+@query("window_metrics_missing_values", check_sql("""
+    SELECT tenant_id, event_type, window_type, timestamp - timestamp % ms AS window_start,
+           timestamp - timestamp % ms + ms AS window_end, count(*) AS count, round(sum(v), 4) AS sum,
+           round(sum(v), 4) / count(*) AS avg, quantile_disc(v, 0.99) AS p99
+    FROM (SELECT *, CASE WHEN seq % 5 IN (0, 1) THEN 1.0 ELSE value END AS v FROM canon), lengths GROUP BY ALL""", "canon", "lengths"))
+def window_metrics_missing_values(spark, sf_dir):
+    """An event without a value, or with one that is no finite number, counts as 1.0 like any other."""
+    value = F.when(F.col("seq") % 5 == 0, F.lit(None)).when(F.col("seq") % 5 == 1, F.lit(float("nan"))).otherwise(F.col("value"))
+    return tidy(window_metrics(load_events(spark, sf_dir).withColumn("value", value)))
+
+
 @query("window_metrics_on_time", check_sql("""
     SELECT tenant_id, event_type, window_type, timestamp - timestamp % ms AS window_start,
            timestamp - timestamp % ms + ms AS window_end, count(*) AS count, round(sum(value), 4) AS sum,

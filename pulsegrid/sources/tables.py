@@ -56,14 +56,20 @@ def expired_partitions(df: DataFrame, as_of_ms: int | Column, days: int = RETENT
 def to_dead_letters(
     failed: DataFrame, error: str, failed_at: int | str | Column, attempts: int = MAX_ATTEMPTS
 ) -> DataFrame:
-    """Envelope of an event that failed its last attempt."""
+    """Envelope of an event that failed its last attempt.
+
+    Rows of a message that could not be decoded keep its text in `raw` and fail with `decode_error`.
+    """
     if isinstance(failed_at, int):
         when = F.lit(failed_at).cast("bigint")
     else:
         when = F.col(failed_at) if isinstance(failed_at, str) else failed_at
-    return failed.where(F.col(error).isNotNull()).select(
+    text = [F.col("raw")] if "raw" in failed.columns else []
+    reason = F.coalesce("decode_error", error) if "decode_error" in failed.columns else F.col(error)
+    return failed.where(reason.isNotNull()).select(
         F.struct(*[F.col(c) for c in EVENT_COLUMNS]).alias("original_event"),
-        F.col(error).alias("error"),
+        *text,
+        reason.alias("error"),
         when.alias("failed_at"),
         F.lit(attempts).alias("attempts"),
     )

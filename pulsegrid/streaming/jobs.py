@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructType
 from ..functions.timing import HOUR, TUMBLING, to_ms, to_ts, with_calendar
 from ..operators.dedup import DEDUP_TTL, dedup_increment
 from ..operators.dedup import drop_duplicates as drop_copies
-from ..operators.ingest import flag_late, validate
+from ..operators.ingest import apply_defaults, flag_late, validate
 from ..operators.views import minute_partials, revenue_per_hour
 from ..operators.windows import KEYS, window_metrics
 from ..sources.tables import to_dead_letters
@@ -192,13 +192,15 @@ def start_exact_dedup(
 def start_raw_sink(
     events: DataFrame, events_path: str, dlq_path: str, checkpoint: str, received_at: str = "received_at"
 ) -> DataStreamWriter:
-    """Validate and store every event, late ones too, with their label; the rest to the DLQ.
+    """Complete, validate and store every event, late ones too, with their label; the rest to the DLQ.
+
+    A missing time is the arrival time.
 
     The batch is parsed once: it is written with its error column, then read back to be split.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        checked = flag_late(validate(batch), received_at)
+        checked = flag_late(validate(apply_defaults(batch, F.col(received_at))), received_at)
         rows = staged(checked, f"{events_path}/_staged/batch={batch_id}")
         good = with_calendar(rows.where("error IS NULL").drop("error", "is_late"))
         (
