@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.texts import anomaly_message
-from ..functions.timing import MINUTE, SECOND, floor_ms
+from ..functions.timing import HOUR, MINUTE, SECOND, floor_ms
 from .windows import KEYS
 
 SIGMAS = 3.0
@@ -139,6 +139,13 @@ def running_anomalies(
     return _history_scores(events, duration_ms, history, sigmas, keys, ts).where("is_anomaly")
 
 
+def anomaly_burst(scored: DataFrame, step_ms: int = HOUR, limit: int = 10, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Flagged rows per step (and `keys`), and whether there are more than `limit` of them; steps without any are left out."""
+    step = floor_ms("window_start", step_ms).alias("step_start")
+    counts = scored.where("is_anomaly").groupBy(*keys, step).agg(F.count("*").alias("anomalies"))
+    return counts.withColumn("breach", F.col("anomalies") > limit)
+
+
 def anomaly_signals(scored: DataFrame, value: str = "count") -> DataFrame:
     """Flagged rows as signals; their severity is always a warning."""
     return scored.where("is_anomaly").select(

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.texts import NO_MODEL_TEXT, anomaly_prompt, fixed, ratio_summary, severity_color
-from ..functions.timing import HOUR
+from ..functions.timing import DAY, HOUR
 from ..operators import alerts
-from ..operators.anomaly import anomaly_signals, running_anomalies, running_counts, zscore_running, zscore_windows
+from ..operators.anomaly import anomaly_burst, anomaly_signals, running_anomalies, running_counts, zscore_running, zscore_windows
 from ..operators.explain import explain
 from ..operators.windows import fill_empty, window_counts
 from ..sources.canonical import latest_ms, load_events
@@ -88,6 +88,14 @@ def zscore_windows_zero_filled(spark, sf_dir):
     )
 
 
+@query("anomaly_burst", check_sql("""
+    SELECT window_start - window_start % 86400000 AS step_start, count(*) AS anomalies, count(*) > 10 AS breach
+    FROM scored WHERE z > 3.0 GROUP BY ALL""", "scored"))
+def anomaly_burst_query(spark, sf_dir):
+    """Days with more than ten anomalous windows over all tenants."""
+    return anomaly_burst(_scored(spark, sf_dir), DAY)
+
+
 @query("anomaly_signals", check_sql("""
     SELECT tenant_id, event_type, window_start, 'Anomaly: ' || event_type || ' z=' || printf('%.2f', z) AS message,
            round(z, 6) AS z_score, CAST(count AS DOUBLE) AS current_value, 'warning' AS severity

@@ -311,9 +311,12 @@ def table_health_query(spark, sf_dir):
     )
 
 
-@query("table_bytes")
+@query("table_bytes", """
+    SELECT 'events' AS "table", count(*) AS total_rows, true AS bytes_ok FROM events""")
 def table_bytes(spark, sf_dir):
-    return table_health({"events": spark.read.parquet(f"{sf_dir}/events.parquet")}, with_bytes=True)
+    """Rows, and whether the bytes of the files lie between one bit and 1,000 bytes a row."""
+    health = table_health({"events": spark.read.parquet(f"{sf_dir}/events.parquet")}, with_bytes=True)
+    return health.select("table", "total_rows", F.expr("total_bytes BETWEEN total_rows / 8 AND total_rows * 1000").alias("bytes_ok"))
 
 
 @query("stored_events_slice", check_sql("""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timing import DAY, HOUR, MINUTE, SECOND
+from ..functions.timing import DAY, HOUR, MINUTE, SECOND, TUMBLING
 from ..operators import analytics, routing, views
 from ..operators.ingest import flag_late, for_windows
 from ..operators.sessions import session_windows
-from ..operators.windows import approx_metrics, finish_approx, sliding_counts, window_counts, window_metrics
+from ..operators.windows import approx_metrics, explode_windows, finish_approx, sliding_counts, window_counts, window_metrics
 from ..sources.canonical import latest_ms, load_events
 from .fixtures import fired, metrics, tidy
 from .registry import check_sql, query
@@ -55,9 +55,29 @@ def window_metrics_large(spark, sf_dir):
     return tidy(window_metrics(load_events(spark, sf_dir), {"day": DAY, "ten_days": 10 * DAY}))
 
 
-@query("window_metrics_approx")
+def _rank_ok(approx, events, durations, error=0.02):
+    """`p99_ok`: the share of a window's values up to the approximate percentile is 0.99, but for the sketch's error."""
+    keys = ["tenant_id", "event_type", "window_type", "window_start"]
+    values = explode_windows(events.select("tenant_id", "event_type", "timestamp", "value"), durations, "timestamp")
+    p, v = F.col("p99"), F.col("value")
+    shares = values.join(approx.select(*keys, "p99"), keys).groupBy(*keys).agg(
+        (F.sum((v <= p).cast("int")) / F.count("*")).alias("upto"), (F.sum((v < p).cast("int")) / F.count("*")).alias("below")
+    )
+    ok = (F.col("upto") >= 0.99 - error) & (F.col("below") <= 0.99 + error)
+    return approx.join(shares, keys).withColumn("p99_ok", ok).select(*keys, "count", "p99_ok")
+
+
+def _users_ok(estimate, exact):
+    """Whether an HLL estimate is within 6 % (four deviations) or two of the exact number."""
+    return F.abs(estimate - exact) <= F.greatest(F.lit(2.0), 0.06 * exact)
+
+
+@query("window_metrics_approx", check_sql("""
+    SELECT tenant_id, event_type, window_type, window_start, count, true AS p99_ok FROM metrics""", "metrics"))
 def window_metrics_approx(spark, sf_dir):
-    return finish_approx(approx_metrics(load_events(spark, sf_dir)))
+    """Counts and approximate percentiles, these held against the exact ranks."""
+    events = load_events(spark, sf_dir)
+    return _rank_ok(finish_approx(approx_metrics(events)), events, TUMBLING)
 
 
 @query("window_metrics_lookup", check_sql("""
@@ -105,13 +125,18 @@ def events_per_minute_merged(spark, sf_dir):
     return views.merge_minute_partials(table)
 
 
-@query("daily_users_sketch")
+@query("daily_users_sketch", check_sql("""
+    SELECT tenant_id, event_type, timestamp - timestamp % 86400000 AS window_start, count(*) AS count, true AS users_ok
+    FROM canon GROUP BY ALL"""))
 def daily_users_sketch(spark, sf_dir):
-    """Per-minute partials rolled up to days: distinct users from sketches, within their error."""
+    """Per-minute partials rolled up to days: distinct users from sketches, held against the exact number."""
     daily = views.minute_partials(load_events(spark, sf_dir)).withColumn(
         "window_start", F.col("window_start") - F.pmod("window_start", F.lit(DAY))
     )
-    return views.merge_minute_partials(daily)
+    keys = ["tenant_id", "event_type", "window_start"]
+    exact = views.events_per_minute(load_events(spark, sf_dir), DAY).select(*keys, F.col("unique_users").alias("exact"))
+    merged = views.merge_minute_partials(daily).join(exact, keys)
+    return merged.select(*keys, "count", _users_ok(F.col("unique_users"), F.col("exact")).alias("users_ok"))
 
 
 @query("revenue_per_hour", check_sql("""
@@ -308,9 +333,18 @@ def salted_window_counts(spark, sf_dir):
     return routing.salted_window_aggregate(load_events(spark, sf_dir), HOUR).withColumn("sum", F.round("sum", 4))
 
 
-@query("salted_window_sketches")
+@query("salted_window_sketches", check_sql("""
+    SELECT tenant_id, event_type, timestamp - timestamp % 86400000 AS window_start, count(*) AS count,
+           true AS users_ok, true AS p99_ok FROM canon GROUP BY ALL"""))
 def salted_window_sketches(spark, sf_dir):
+    """Sketches built in two phases, held against exact users and ranks."""
+    events, keys = load_events(spark, sf_dir), ["tenant_id", "event_type", "window_start"]
     salted = routing.salted_window_aggregate(load_events(spark, sf_dir), DAY, sketches=True)
-    return salted.withColumn("users", F.hll_sketch_estimate("users")).withColumn(
+    salted = salted.withColumn("users", F.hll_sketch_estimate("users")).withColumn(
         "p99", F.kll_sketch_get_quantile_double("values", F.lit(0.99))
-    ).drop("values")
+    )
+    ranks = _rank_ok(salted.withColumn("window_type", F.lit("day")), events, {"day": DAY}).select(*keys, "p99_ok")
+    exact = views.events_per_minute(events, DAY).select(*keys, F.col("unique_users").alias("exact"))
+    return salted.join(exact, keys).join(ranks, keys).select(
+        *keys, "count", _users_ok(F.col("users"), F.col("exact")).alias("users_ok"), "p99_ok"
+    )

@@ -38,9 +38,16 @@ def as_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_events(spark: SparkSession, sf_dir: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """Events with start_ms <= time <= end_ms; the bounds reach the file scan, as the time column does not after conversion."""
     use_utc(spark)
-    return as_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = raw.schema["ts"].dataType.simpleString()
+    if start_ms is not None:
+        raw = raw.where(F.col("ts") >= F.timestamp_millis(F.lit(start_ms).cast("bigint")).cast(kind))
+    if end_ms is not None:
+        raw = raw.where(F.col("ts") < F.timestamp_millis(F.lit(end_ms + 1).cast("bigint")).cast(kind))
+    return as_events(raw)
 
 
 def latest_ms(events: DataFrame, ts: str = "timestamp") -> Column:
