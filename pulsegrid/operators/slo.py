@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.timing import MINUTE, SECOND, floor_ms
+from ..functions.timing import HOUR, MINUTE, SECOND, floor_ms
 from .windows import fill_empty, sliding_counts, window_counts
 
 QUOTA = 10_000
@@ -189,9 +189,18 @@ def consumer_lag(
 
 
 def forecast_replicas(
-    counts: DataFrame, keys: list[str], step_ms: int, now: Column, ahead_ms: int = 15 * MINUTE
+    counts: DataFrame, keys: list[str], step_ms: int, now: Column, ahead_ms: int = 15 * MINUTE, span_ms: int = 24 * HOUR
 ) -> DataFrame:
-    """Linear traffic trend per key, its value `ahead_ms` after `now`, and the replicas it needs."""
+    """Linear traffic trend per key, its value `ahead_ms` after `now`, and the replicas it needs.
+
+    The trend is that of the closed steps of the last `span_ms`, those without events included, for keys with
+    events among them.
+    """
+    last = now - F.pmod(now, F.lit(step_ms).cast("bigint"))
+    recent = counts.where((F.col("window_start") >= last - F.lit(span_ms)) & (F.col("window_start") < last))
+    steps = F.sequence(last - F.lit(span_ms), last - F.lit(step_ms), F.lit(step_ms).cast("bigint"))
+    grid = recent.select(*keys).distinct().withColumn("window_start", F.explode(steps))
+    counts = grid.join(recent, [*keys, "window_start"], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
     x = (F.col("window_start") - now) / F.lit(float(MINUTE))
     y = F.col("count") / F.lit(step_ms / 1000.0)
     fit = counts.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys).agg(
