@@ -113,7 +113,7 @@ def edit_prints(docs: DataFrame, *, text: str = "text", into: str = "fingerprint
     Null texts count as empty; equal texts have equal fingerprints. Narrow: no shuffle.
     """
     docs = docs.drop(into)
-    schema = docs.schema.add(into, "string")
+    schema = docs.select("*", F.lit("").alias(into)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = printer(seed, bits)

@@ -128,7 +128,7 @@ def encode_pieces(docs: DataFrame, model_file: str, *, text: str = "text", ids:
 def decode_pieces(docs: DataFrame, model_file: str, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """`docs` with the column `text` made from `ids`, replaced if it exists; null ids give an empty text."""
     docs = docs.drop(text)
-    schema = docs.schema.add(text, "string")
+    schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_file)
