@@ -42,6 +42,7 @@ HEADLINE = [
     "counter_rate",
     "slo_ratio",
     "forecast_scaling",
+    "stream_minute_view",
 ]
 
 
