@@ -104,22 +104,22 @@ def histogram_buckets(df: DataFrame, keys: list[str], value: str, bounds: list[f
 def histogram_quantile(buckets: DataFrame, keys: list[str], q: float) -> DataFrame:
     """Quantile from cumulative buckets, linear inside the bucket.
 
-    The lowest bucket starts at zero; a quantile in the +Inf bucket is the highest finite bound.
+    The lowest bucket starts at zero; a quantile in the +Inf bucket is the highest finite bound. A series
+    without samples has a null quantile; the quantile 0 is where the first bucket with samples starts. For a
+    quantile of rates, give the buckets of a trailing span: a rate is their count over one length.
     """
     order = W.partitionBy(*keys).orderBy("le")
-    target = F.lit(q) * F.max("cum").over(W.partitionBy(*keys))
     rows = (
-        buckets.withColumn("_target", target)
+        buckets.withColumn("_target", F.lit(q) * F.max("cum").over(W.partitionBy(*keys)))
         .withColumn("_low", F.coalesce(F.lag("le").over(order), F.lit(0.0)))
         .withColumn("_under", F.coalesce(F.lag("cum").over(order), F.lit(0)))
-        .where((F.col("cum") >= F.col("_target")) & (F.col("_under") < F.col("_target")))
     )
-    inside = F.col("_low") + (F.col("le") - F.col("_low")) * (F.col("_target") - F.col("_under")) / (
-        F.col("cum") - F.col("_under")
-    )
-    return rows.select(
-        *keys, F.when(F.col("le") == float("inf"), F.col("_low")).otherwise(inside).alias("quantile")
+    inside = F.col("_low") + (F.col("le") - F.col("_low")) * (F.col("_target") - F.col("_under")) / F.nullif(
+        F.col("cum") - F.col("_under"), F.lit(0)
     )
+    value = F.when(F.col("le") == float("inf"), F.col("_low")).otherwise(inside)
+    holds = (F.col("cum") >= F.col("_target")) & (F.col("cum") > 0)
+    return rows.groupBy(*keys).agg(F.min_by(value, F.when(holds, F.col("le"))).alias("quantile"))
 
 
 def error_ratio(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timing import HOUR, MINUTE
+from ..functions.timing import HOUR, MINUTE, floor_ms
 from ..operators import slo
 from ..operators.windows import window_counts
 from ..sources.canonical import latest_ms, load_events
@@ -97,6 +97,25 @@ def histogram_quantile(spark, sf_dir):
     return slo.histogram_quantile(buckets, ["event_type"], 0.99).withColumn("quantile", F.round("quantile", 6))
 
 
+@query("histogram_quantile_rates", check_sql(f"""
+    , p AS (SELECT tenant_id, timestamp - timestamp % 3600000 - i * 3600000 AS window_start, value FROM canon, range(6) r(i)),
+    b AS (SELECT tenant_id, window_start, le, count(*) FILTER (value <= le) AS cum
+          FROM p, (VALUES {_LE}, (CAST('inf' AS DOUBLE))) t(le) GROUP BY ALL),
+    w AS (SELECT *, coalesce(lag(le) OVER o, 0.0) AS lo, coalesce(lag(cum) OVER o, 0) AS under,
+                 0.99 * max(cum) OVER (PARTITION BY tenant_id, window_start) AS target
+          FROM b WINDOW o AS (PARTITION BY tenant_id, window_start ORDER BY le))
+    SELECT tenant_id, window_start, round(CAST(CASE WHEN isinf(le) THEN lo ELSE lo + (le - lo) * (target - under) / (cum - under) END
+                                               AS DOUBLE), 6) AS quantile
+    FROM w WHERE cum >= target AND under < target"""))
+def histogram_quantile_rates(spark, sf_dir):
+    """The quantile over the buckets of every trailing six hours, moved on by the hour."""
+    spans = load_events(spark, sf_dir).select("tenant_id", "value", F.explode(F.sequence(
+        floor_ms("timestamp", HOUR) - F.lit(5 * HOUR), floor_ms("timestamp", HOUR), F.lit(HOUR).cast("bigint"))).alias("window_start"))
+    keys = ["tenant_id", "window_start"]
+    quantiles = slo.histogram_quantile(slo.histogram_buckets(spans, keys, "value", BOUNDS), keys, 0.99)
+    return quantiles.withColumn("quantile", F.round("quantile", 6))
+
+
 @query("slo_ratio", check_sql("""
     , w AS (SELECT tenant_id, timestamp - timestamp % 3600000 - i * 3600000 AS window_start, count(*) AS count,
                    count(*) FILTER (event_type = 'error') AS errors

@@ -7,7 +7,7 @@ from pulsegrid.functions.timing import DAY, HOUR, MINUTE
 from pulsegrid.operators.anomaly import running_counts
 from pulsegrid.operators.dedup import dedup_increment
 from pulsegrid.operators.ingest import flag_late, for_windows
-from pulsegrid.operators.slo import rate_limited, throughput
+from pulsegrid.operators.slo import histogram_quantile, rate_limited, throughput
 from pulsegrid.operators.windows import window_metrics
 from pulsegrid.sources.canonical import load_events
 from pulsegrid.sources.decode import decode_events
@@ -63,3 +63,10 @@ def test_time_bounds_reach_the_scan(spark):
     plan = bounded._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
     assert bounded.count() == load_events(spark, sf).where(F.col("timestamp").between(start, end)).count() > 0
+
+
+def test_series_without_samples_has_a_null_quantile(spark):
+    rows = [("none", 1.0, 0), ("none", float("inf"), 0), ("some", 1.0, 0), ("some", 2.0, 4), ("some", float("inf"), 4)]
+    buckets = spark.createDataFrame(rows, "k string, le double, cum bigint")
+    at = lambda q: {r["k"]: r["quantile"] for r in histogram_quantile(buckets, ["k"], q).collect()}
+    assert at(0.5) == {"none": None, "some": 1.5} and at(0.0) == {"none": None, "some": 1.0}
