@@ -15,7 +15,7 @@ from pulsegrid.llm.minhash import Layout, clustered
 
 SHINGLE = 8  # characters
 # 13 bands of four 16-bit minhashes: a pair at 0.8 shares no band once in a thousand.
-LINES = Layout(groups=13, per_group=4, dtype="u2", paired=False, least_equal=28)
+LINES = Layout(groups=13, per_group=4, dtype="u2", least_equal=28)
 CHUNK = 1 << 17  # characters hashed at a time, so that arrays stay in a core's cache
 _RNG = np.random.default_rng(31)
 _MUL = (_RNG.integers(0, 2**32, LINES.hashes, dtype=np.uint64) | 1).astype(np.uint32)
@@ -145,23 +145,6 @@ def line_texts(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFram
     return found.join(ids, "id").dropDuplicates(["id"])
 
 
-def confirmed(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """The `pairs` (a, b) whose lines have 100 * common shingles >= percent * all shingles, written out."""
-    side = lambda c: heads.select(F.col("id").alias(c), F.col("line").alias(f"l{c}"))
-    rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True):
-                s, t = shingles(x), shingles(y)
-                both = len(s & t)
-                keep.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return written(rows.mapInArrow(run, "a long, b long").distinct(), "links")
-
-
 def duplicate_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(__key, __hash, dropped): for documents with lines to drop, their positions in text order.
 
@@ -179,7 +162,8 @@ def duplicate_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     entries = written(rows, "bands")
     ids = written(entries.select("id").distinct(), "candidates")
     heads = written(line_texts(docs, ids, key, text), "heads")
-    known = clustered(entries, heads.select("id", "n_shingles", "sig"), lambda pairs: confirmed(pairs, heads, percent), percent, LINES)
+    contents = lambda wanted: heads.select("id", F.col("line").alias("content")).join(wanted, "id", "left_semi")
+    known = clustered(entries, entries, heads.select("id", "n_shingles", "sig"), contents, shingles, percent, LINES)
     found = lines.select("__key", "__hash", "pos", "id").join(known, F.col("id") == F.col("node"), "left")
     found = written(found.select("__key", "__hash", "pos", F.coalesce("root", "id").alias("root")), "roots")
     place = F.struct("__key", "__hash", "pos")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import texts_of, written
@@ -24,7 +24,7 @@ BLOCK = 1024  # members of a table entry that one task compares at a time
 
 @dataclass(frozen=True)
 class Layout:
-    """How a signature is cut: `groups` of `per_group` numbers of `dtype`; tables are groups, or pairs of them if `paired`.
+    """How a signature is cut: `groups` of `per_group` numbers of `dtype`.
 
     `least_equal` numbers must be equal for a pair to be a candidate; it lies more than four deviations below
     what a pair at the threshold has on average.
@@ -33,7 +33,6 @@ class Layout:
     groups: int
     per_group: int
     dtype: str
-    paired: bool
     least_equal: int
 
     @property
@@ -49,7 +48,7 @@ class Layout:
         return F.substring("sig", 1 + size * i, size)
 
 
-DOCUMENTS = Layout(groups=16, per_group=3, dtype="u4", paired=True, least_equal=26)
+DOCUMENTS = Layout(groups=16, per_group=3, dtype="u4", least_equal=26)
 GROUPS, HASHES = DOCUMENTS.groups, DOCUMENTS.hashes
 _RNG = np.random.default_rng(97)
 _MUL = (_RNG.integers(0, 2**32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -100,30 +99,45 @@ def signatures(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
-def tables(heads: DataFrame) -> DataFrame:
-    """(id, pair, entry): the table entries of `heads` (id, sig) that a second id may share.
+def shared_groups(heads: DataFrame) -> DataFrame:
+    """(id, gs): ids of `heads` (id, sig) that share two or more of their 16 groups with others, and those groups (i, h).
 
-    First each of the 16 groups is counted on its own. Two ids that share a table share both of its groups, so
-    only ids with two or more shared groups go on, and only with those groups.
+    Two ids that share a table share both of its groups, so only these ids and groups can meet in a table.
     """
     parts = heads.select("id", F.posexplode(F.array(*(F.xxhash64(DOCUMENTS.group(i)) for i in range(GROUPS)))).alias("i", "h"))
     busy = parts.groupBy("i", "h").agg(F.count("*").alias("n")).where("n > 1").select("i", "h")
-    shared = parts.join(busy, ["i", "h"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("gs")).where(F.size("gs") > 1)
-    pairs = F.flatten(
-        F.transform(
-            "gs", lambda a: F.transform(F.filter("gs", lambda b: b["i"] > a["i"]), lambda b: F.struct((a["i"] * GROUPS + b["i"]).alias("pair"), F.xxhash64(a["i"], b["i"], a["h"], b["h"]).alias("entry")))
-        )
-    )
+    return parts.join(busy, ["i", "h"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("gs")).where(F.size("gs") > 1)
+
+
+def tables(shared: DataFrame) -> DataFrame:
+    """(id, pair, entry): for each pair of groups that an id shares, the table and the key in it."""
+    later = lambda a: F.filter("gs", lambda b: b["i"] > a["i"])
+    entry = lambda a, b: F.struct((a["i"] * GROUPS + b["i"]).alias("pair"), F.xxhash64(a["i"], b["i"], a["h"], b["h"]).alias("entry"))
+    pairs = F.flatten(F.transform("gs", lambda a: F.transform(later(a), lambda b: entry(a, b))))
     return shared.select("id", F.explode(pairs).alias("p")).select("id", "p.pair", "p.entry")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The `pairs` (a, b) of ids whose full shingle sets have 100 * intersection >= percent * union, written out.
+def confirmed(pairs: DataFrame, contents: Callable[[DataFrame], DataFrame], as_set: Callable, percent: int) -> DataFrame:
+    """The `pairs` (a, b) of ids whose whole sets have 100 * intersection >= percent * union, written out."""
+    known = contents(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    side = lambda c: known.select(F.col("id").alias(c), F.col("content").alias(f"c{c}"))
+    rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("ca"), batch.column("cb"), strict=True):
+                s, t = as_set(x.as_py()), as_set(y.as_py())
+                both = len(s & t)
+                keep.append(100 * both >= percent * (len(s) + len(t) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return written(rows.mapInArrow(run, "a long, b long").distinct(), "links")
 
-    Sets are made again for the documents that occur in a pair only; tables are joined by measured size.
-    """
-    ids = written(pairs.select(F.col("a").alias("__id")).union(pairs.select("b")).distinct(), "candidates")
-    picked = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).join(ids, "__id")
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """(id, content): the full shingle sets of the documents in `ids`, made again and written; joined by measured size."""
+    picked = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("__text")).join(written(ids, "candidates"), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,41 +145,80 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int
                 part = batch.slice(at, 256)
                 sets = [shingle_set(t, width).view(np.int64) for t in texts_of(part, "__text")]
                 offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("__id"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int64()))], ["__id", "__s"])
+                values = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("id"), values], ["id", "content"])
+
+    return written(picked.mapInArrow(run, "id long, content array<long>").dropDuplicates(["id"]), "sets")
 
-    sets = written(picked.mapInArrow(run, "__id long, __s array<long>"), "sets")
-    left, right = sets.select(F.col("__id").alias("a"), F.col("__s").alias("sa")), sets.select(F.col("__id").alias("b"), F.col("__s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.select("a", "b").join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("sa") + F.size("sb") - both))
-    return written(links.select("a", "b").distinct(), "links")
 
+def _candidates(q, ids, comps, sizes, group, sigs, asks, percent, layout) -> np.ndarray:
+    """Rows that row `q` of a table entry may be linked with, likeliest first; a pair belongs to the first group it shares."""
+    close = 100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])
+    # a query meets queries with a larger id, and all rows that are none
+    other = np.flatnonzero((comps != comps[q]) & (~asks | (ids > ids[q])) & close)
+    equal = (sigs[other] == sigs[q]).sum(axis=1)
+    other, equal = other[equal >= layout.least_equal], equal[equal >= layout.least_equal]
+    if group:
+        earlier = sigs[other][:, : group * layout.per_group].reshape(len(other), group, layout.per_group)
+        own = ~(earlier == sigs[q][: group * layout.per_group].reshape(group, layout.per_group)).all(axis=2).any(axis=1)
+        other, equal = other[own], equal[own]
+    return other[np.argsort(-equal, kind="stable")]
 
-def _compare(ids, comps, sizes, pair, sigs, query, percent, layout) -> list[tuple]:
-    """Pairs of one table entry that may be similar: query rows against all, each pair in the first table it shares only."""
-    out, groups = [], sigs.reshape(len(sigs), layout.groups, layout.per_group)
-    wanted = list(divmod(pair, layout.groups)) if layout.paired else [pair]
+
+def _meetings(rows: dict, group: int, percent: int, layout: Layout) -> Iterator[tuple[int, np.ndarray]]:
+    """(query row, candidate rows) of one block of a table entry: queries meet the rows whose own block this is."""
+    ids, query, away = rows["id"], rows["query"], rows["away"]
     for q in np.flatnonzero(query):
-        # a query meets queries with a larger id, and all rows that are none
-        close = 100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])
-        other = np.flatnonzero((comps != comps[q]) & (~query | (ids > ids[q])) & close)
-        equal = (sigs[other] == sigs[q]).sum(axis=1)
-        other, equal = other[equal >= layout.least_equal], equal[equal >= layout.least_equal]
-        if not len(other):
+        at = np.flatnonzero(~away | (np.arange(len(ids)) == q))
+        place = int(np.searchsorted(at, q))
+        # a query from another block meets all rows at home here; the pair of two queries is met at both homes
+        asks = query[at] if not away[q] else np.arange(len(at)) == place
+        found = _candidates(place, ids[at], rows["comp"][at], rows["n_shingles"][at], group, rows["sig"][at], asks, percent, layout)
+        if len(found):
+            yield int(q), at[found]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[tuple[int, dict, pa.RecordBatch]]:
+    """(group, columns, rows) of each run of equal (group, entry, block); a run may go on in the next batch."""
+    rest = None
+    for batch in _and_end(batches):
+        if batch is not None:
+            rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            if rest.num_rows < 4096:
+                continue
+        if rest is None or not rest.num_rows:
             continue
-        same = (groups[other] == groups[q]).all(axis=2)
-        own = (np.argsort(~same, axis=1, kind="stable")[:, : len(wanted)] == wanted).all(axis=1)
-        out.extend((int(ids[q]), int(ids[o]), int(e)) for o, e in zip(other[own], equal[own], strict=True))
-    return out
+        keys = [rest.column(c).to_numpy() for c in ("pair", "entry", "block")]
+        cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        start = 0
+        for end in [*cuts.tolist(), *([rest.num_rows] if batch is None else [])]:
+            part = rest.slice(start, end - start)
+            columns = {c: part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n_shingles", "query", "away")}
+            columns["sig"] = np.frombuffer(b"".join(part.column("sig").to_pylist()), layout.dtype).reshape(-1, layout.hashes)
+            yield int(keys[0][start]), columns, part
+            start = end
+        rest = rest.slice(start)
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
-def crossing(entries: DataFrame, heads: DataFrame, known: DataFrame, percent: int, layout: Layout) -> DataFrame:
-    """(a, b, equal): likely similar pairs that share a table entry and are not yet in one component.
+def crossing(
+    groups: DataFrame, heads: DataFrame, known: DataFrame, contents: Callable[[DataFrame], DataFrame], as_set: Callable, percent: int, layout: Layout
+) -> DataFrame:
+    """(a, b): links that join components of `known`, found and confirmed inside the tasks that hold both ids.
 
-    An entry whose ids are all in one component needs no work. In any other, the ids outside its most common
-    component are compared with all of its ids, in blocks of about 1,024, so an entry of any size is dealt to
-    many tasks; comparing is on signatures, and no pair leaves a task unless it is likely enough.
+    `groups` (id, pair, entry) has the groups of a signature that ids share. An entry whose ids are all in one
+    component needs no work. In any other, the ids outside its most common component meet all of its ids, in
+    blocks of about 1,024, so an entry of any size is dealt to many tasks. A first pass compares signatures and
+    keeps the rows that have a likely partner; only these get their whole contents (`contents` of ids: id, content;
+    `as_set` of one) for the second pass, which confirms the likely pairs, likeliest first, unless confirmed ones have
+    joined them already. No pair leaves a task but a link that joins two components there, so a group of
+    near copies gives about one row per member and block.
     """
-    where = entries.join(known, F.col("id") == F.col("node"), "left").select("id", "pair", "entry", F.coalesce("root", "id").alias("comp"))
+    where = groups.join(known, F.col("id") == F.col("node"), "left").select("id", "pair", "entry", F.coalesce("root", "id").alias("comp"))
     where = written(where, "entries")
     parts = where.groupBy("pair", "entry", "comp").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("pair", "entry").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top")).where("k > 1")
@@ -174,67 +227,62 @@ def crossing(entries: DataFrame, heads: DataFrame, known: DataFrame, percent: in
     own = F.pmod(F.xxhash64("id"), "blocks")
     at = F.when(F.col("query"), F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.struct(b.alias("block"), (b != own).alias("away"))))
     rows = rows.withColumn("at", F.explode(F.coalesce(at, F.array(F.struct(own.alias("block"), F.lit(False).alias("away"))))))
-    rows = rows.join(heads.select("id", "n_shingles", "sig"), "id")
-    rows = rows.select("pair", "entry", "at.block", "at.away", "id", "comp", "n_shingles", "query", "sig")
-    rows = rows.repartition("entry", "block").sortWithinPartitions("pair", "entry", "block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _and_end(batches):
-            if batch is not None:
-                rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-                if rest.num_rows < 4096:
-                    continue
-            if rest is None or not rest.num_rows:
-                continue
-            column = lambda c: rest.column(c).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-            entry, block, pair = column("entry"), column("block"), column("pair")
-            cuts = np.flatnonzero((entry[1:] != entry[:-1]) | (block[1:] != block[:-1]) | (pair[1:] != pair[:-1])) + 1
-            ends = [*cuts.tolist(), *([rest.num_rows] if batch is None else [])]  # the last run may go on in the next batch
-            ids, comps, sizes, query, away = (column(c) for c in ("id", "comp", "n_shingles", "query", "away"))
-            sigs = np.frombuffer(b"".join(rest.column("sig").to_pylist()), layout.dtype).reshape(-1, layout.hashes)
-            found, start = [], 0
-            for end in ends:
-                s = slice(start, end)
-                found.extend(_block(ids[s], comps[s], sizes[s], int(pair[start]), sigs[s], query[s], away[s], percent, layout))
-                start = end
-            rest = rest.slice(start)
-            a, b, e = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(e, pa.int64())], ["a", "b", "equal"])
-
-    return rows.mapInArrow(run, "a long, b long, equal long").distinct()
-
-
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
-
-
-def _block(ids, comps, sizes, pair, sigs, query, away, percent, layout) -> list[tuple]:
-    """Query rows against the rows whose own block this is."""
-    if not away.any():
-        return _compare(ids, comps, sizes, pair, sigs, query, percent, layout)
-    out, home = [], ~away
-    for q in np.flatnonzero(query):
-        pick = home.copy()
-        pick[q] = True
-        at = np.flatnonzero(pick)
-        ask = np.zeros(len(at), bool)
-        ask[np.searchsorted(at, q)] = True
-        # this meets queries at home in this block as well, from either side; their pairs are put in one order
-        asks = set(ids[at][query[at]].tolist())
-        for a, b, e in _compare(ids[at], comps[at], sizes[at], pair, sigs[at], ask, percent, layout):
-            out.append((b, a, e) if b in asks and b < a else (a, b, e))
-    return out
-
-
-def clustered(entries: DataFrame, heads: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int, layout: Layout) -> DataFrame:
-    """(node, root) of the components of ids whose pairs `confirm` keeps; ids without a link are not returned.
-
-    `entries` (id, pair, entry) are written table entries, `heads` (id, n_shingles, sig) their ids. Each id is first
-    paired with the one partner it shares most tables with; once components are known, only pairs across
-    components are left, the two best of an id and a component first. A group of thousands of near copies so
-    costs about one pair per member, and no link between components is lost.
+    rows = rows.select("pair", "entry", "at.block", "at.away", "id", "comp", "query").join(heads.select("id", "n_shingles", "sig"), "id")
+    dealt = lambda df: df.repartition("entry", "block").sortWithinPartitions("pair", "entry", "block", "id")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, columns, part in _blocks(batches, layout):
+            some = np.zeros(part.num_rows, bool)
+            for q, found in _meetings(columns, group, percent, layout):
+                some[q] = True
+                some[found] = True
+            if some.any():
+                yield part.filter(pa.array(some))
+
+    schema = rows.select("pair", "entry", "block", "away", "id", "comp", "query", "n_shingles", "sig").schema
+    rows = written(dealt(rows.select(*schema.names)).mapInArrow(likely, schema), "likely")
+    full = dealt(rows.join(contents(rows.select("id").distinct()), "id").select(*schema.names, "content"))
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, columns, part in _blocks(batches, layout):
+            content, sets, joined, links = part.column("content"), {}, {}, []
+
+            def root(c: int, joined: dict = joined) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            def own_set(i: int, sets: dict = sets, content=content) -> set:
+                if i not in sets:
+                    sets[i] = as_set(content[i].as_py())
+                return sets[i]
+
+            ids, comps = columns["id"].tolist(), columns["comp"].tolist()
+            for q, found in _meetings(columns, group, percent, layout):
+                for o in found.tolist():
+                    x, y = root(comps[q]), root(comps[o])
+                    if x == y:
+                        continue
+                    s, t = own_set(q), own_set(o)
+                    both = len(s & t)
+                    if 100 * both >= percent * (len(s) + len(t) - both):
+                        links.append((ids[q], ids[o]))
+                        joined[max(x, y)] = min(x, y)
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return written(full.mapInArrow(confirm, "a long, b long"), "crossing")
+
+
+def clustered(
+    entries: DataFrame, groups: DataFrame, heads: DataFrame, contents: Callable[[DataFrame], DataFrame], as_set: Callable, percent: int, layout: Layout
+) -> DataFrame:
+    """(node, root) of the components of ids linked at `percent`; ids without a link are not returned.
+
+    `entries` (id, pair, entry) are written table entries, `groups` the same for single groups of the signatures,
+    `heads` (id, n_shingles, sig) their ids. Each id is first paired with the one partner it shares most tables
+    with, which joins most of a group of near copies for one pair per member. What links join the
+    components so found is then settled entry by entry (`crossing`), so no link between components is lost.
     """
     # The first id of an entry, by a random order that all entries share, is the partner of the others.
     first = entries.groupBy("pair", "entry").agg(F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("a"))).alias("f"))
@@ -245,21 +293,10 @@ def clustered(entries: DataFrame, heads: DataFrame, confirm: Callable[[DataFrame
     equal = F.aggregate(F.sequence(F.lit(0), F.lit(layout.hashes - 1)), F.lit(0), lambda n, k: n + (number("sa", k) == number("sb", k)).cast("int"))
     likely = best.select("m.a", F.col("id").alias("b")).join(side("a"), "a").join(side("b"), "b")
     likely = likely.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where(equal >= layout.least_equal)
-    links = confirm(written(likely.select("a", "b"), "pairs"))
-    known = written(components(links), "components")
-    cross = written(crossing(entries, heads, known, percent, layout), "crossing")
-    comp = known.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    top = Window.partitionBy("a", "rb").orderBy(F.desc("equal"), "b")
-    ranked = cross.join(comp, "b", "left").withColumn("rb", F.coalesce("rb", "b")).withColumn("r", F.row_number().over(top))
-    ranked = written(ranked.select("a", "b", "r"), "ranked")
-    if ranked.isEmpty():
-        return known
-    links = links.union(confirm(ranked.where("r <= 2").select("a", "b")))
+    links = confirmed(written(likely.select("a", "b"), "pairs"), contents, as_set, percent)
     known = written(components(links), "components")
-    root = lambda c: known.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    rest = ranked.where("r > 2").select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left")
-    rest = written(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "rest")
-    return known if rest.isEmpty() else written(components(links.union(confirm(rest))), "components")
+    more = crossing(groups, heads, known, contents, as_set, percent, layout)
+    return known if more.isEmpty() else written(components(links.union(more)), "components")
 
 
 def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -277,9 +314,11 @@ def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     full = signed.where("n_shingles > 0 AND __id IS NOT NULL")
     nodes = full.groupBy("__set", "n_shingles").agg(F.min("__id").alias("id"), F.first("__sig").alias("sig"))
     heads = written(nodes, "nodes")
-    entries = written(tables(heads.select("id", "sig")), "tables")
-    confirm = lambda pairs: confirmed(pairs, docs, key, text, width, percent)
-    known = clustered(entries, heads, confirm, percent, DOCUMENTS)
+    shared = written(shared_groups(heads.select("id", "sig")), "shared")
+    entries = written(tables(shared), "tables")
+    groups = shared.select("id", F.explode("gs").alias("g")).select("id", F.col("g.i").alias("pair"), F.col("g.h").alias("entry"))
+    contents = lambda ids: shingle_sets(docs, ids, key, text, width)
+    known = clustered(entries, groups, heads, contents, set, percent, DOCUMENTS)
     roots = heads.join(known, F.col("id") == F.col("node"), "left").select("__set", "n_shingles", F.coalesce("root", "id").alias("root"))
     out = signed.join(roots, ["__set", "n_shingles"], "left").withColumn("component_id", F.coalesce("root", "__id"))
     kept = F.coalesce(F.col("__id") == F.col("component_id"), F.lit(True))
