@@ -22,8 +22,9 @@ _MUL = (_RNG.integers(0, 2**32, LINES.hashes, dtype=np.uint64) | 1).astype(np.ui
 _M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
-def line_id(line: str) -> int:
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")))))
+def line_ids(lines: list[str]) -> np.ndarray:
+    """64-bit hashes of whole lines, as signed numbers."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -94,7 +95,7 @@ def signed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sigs = signatures(lines)
                 source = pa.array(owner, pa.int64())
                 arrays = [part.column("__key").take(source), part.column("__hash").take(source), pa.array(places, pa.int32()),
-                          pa.array(list(map(line_id, lines)), pa.int64()), pa.array([s.tobytes() for s in sigs], pa.binary())]
+                          pa.array(line_ids(lines), pa.int64()), pa.array([s.tobytes() for s in sigs], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["__key", "__hash", "pos", "id", "sig"])
 
     return rows.mapInArrow(run, f"__key {kind}, __hash long, pos int, id long, sig binary")
@@ -132,7 +133,7 @@ def line_texts(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFram
             found = {}
             for t in batch.column("__text"):
                 lines = [line for _, line in lines_of(t.as_py() or "")]
-                own = np.array(list(map(line_id, lines)), np.int64)
+                own = line_ids(lines)
                 hit = np.ones(len(own), bool)
                 for place in _places(own, bits):
                     hit &= (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
