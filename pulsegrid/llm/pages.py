@@ -35,6 +35,9 @@ _OTHER_WORDS = set(
 )
 _MAIN_WORDS = set("article main content post entry story body text".split())
 _SPACE = re.compile(r"\s+")
+# Elements that end an open one of their kind without its closing tag, and what that search stops at.
+_SIBLINGS = {n: set(names.split()) for names in ("li", "dt dd", "tr", "td th", "option") for n in names.split()}
+_CONTAINERS = set("ul ol dl table tbody thead tfoot tr select div section article main body".split())
 
 
 @dataclass(slots=True)
@@ -43,7 +46,8 @@ class Token:
 
     kind: str  # "text", "open", "close"
     name: str
-    label: str  # what occurrence vectors count: the tag with its class, id and role
+    label: str  # the tag with its class, id and role
+    role: int = 0  # what occurrence vectors count: the label under the labels it is nested in
     text: str = ""
     other: bool = False  # opens something that is not the article
     main: bool = False
@@ -54,11 +58,11 @@ def tokens_of(page: str) -> list[Token]:
     out, at = [], 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            out.append(Token("text", "", "", page[at : m.start()]))
+            out.append(Token("text", "", "", 0, page[at : m.start()]))
         at = m.end()
         name = (m[3] or "").lower()
         if m[0].startswith("<![CDATA["):
-            out.append(Token("text", "", "", html.escape(m[0][9:].removesuffix("]]>"))))
+            out.append(Token("text", "", "", 0, html.escape(m[0][9:].removesuffix("]]>"))))
         if not name:
             continue
         if m[2]:
@@ -69,79 +73,158 @@ def tokens_of(page: str) -> list[Token]:
         # a page's outer elements may carry such words (class="has-sidebar") without being one
         other = name in _OTHER_ELEMENTS or (name not in ("html", "body", "main", "article") and bool(words & _OTHER_WORDS)) or bool(m[4] and _HIDDEN.search(m[4]))
         main = name in ("article", "main") or (name in ("div", "section", "td") and bool(words & _MAIN_WORDS) and not other)
-        out.append(Token("open", name, f"{name} {re.sub(r'[0-9]+', '0', marks)}", "", other, main))
+        out.append(Token("open", name, f"{name} {re.sub(r'[0-9]+', '0', marks)}", 0, "", other, main))
         if m[4].rstrip().endswith("/") and name not in _VOID and name not in _INLINE and name != "p":
             out.append(Token("close", name, f"/{name}"))
     if at < len(page):
-        out.append(Token("text", "", "", page[at:]))
+        out.append(Token("text", "", "", 0, page[at:]))
+    _nest(out)
     return out
 
 
-def equivalence_classes(pages: list[list[Token]]) -> dict[str, tuple[int, ...]]:
-    """Labels of tags -> their occurrence vector (how often in each page), for tags that most pages have."""
-    vectors: dict[str, list[int]] = defaultdict(lambda: [0] * len(pages))
+def _nest(page: list[Token]) -> None:
+    """Sets the roles of tags: one label in two places of a page (a paragraph of the article, of the footer) is two roles."""
+    stack: list[tuple[str, int]] = []  # open elements, name and role
+    for t in page:
+        if t.kind == "open":
+            if t.name not in _INLINE and t.name not in _VOID:
+                while stack and (stack[-1][0] in _INLINE or stack[-1][0] == "p"):
+                    stack.pop()  # no block lies in a paragraph or in text
+                siblings = _SIBLINGS.get(t.name, ())
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] in siblings:
+                        del stack[k:]
+                        break
+                    if stack[k][0] in _CONTAINERS:
+                        break
+            t.role = hash((stack[-1][1] if stack else 0, t.label))
+            if t.name not in _VOID:
+                stack.append((t.name, t.role))
+        elif t.kind == "close":
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == t.name), None)
+            if k is None:
+                t.role = hash((stack[-1][1] if stack else 0, t.label))
+            else:
+                t.role = hash((stack[k][1], "/"))
+                del stack[k:]
+
+
+def equivalence_classes(pages: list[list[Token]]) -> dict[int, tuple[int, ...]]:
+    """Roles of tags -> their occurrence vector (how often in each page), for tags that most pages have."""
+    vectors: dict[int, list[int]] = defaultdict(lambda: [0] * len(pages))
     for i, page in enumerate(pages):
-        for label, n in Counter(t.label for t in page if t.kind != "text").items():
-            vectors[label][i] = n
-    return {label: tuple(v) for label, v in vectors.items() if sum(map(bool, v)) >= max(2, 0.9 * len(pages))}
+        for role, n in Counter(t.role for t in page if t.kind != "text").items():
+            vectors[role][i] = n
+    return {role: tuple(v) for role, v in vectors.items() if sum(map(bool, v)) >= max(2, 0.9 * len(pages))}
 
 
-def template_of(pages: list[list[Token]]) -> list[str]:
-    """The root template: the tags of the valid classes whose tags come once per page, in the order that pages share.
+def template_of(pages: list[list[Token]]) -> set[int]:
+    """Roles of the template's tags: the root's, which come once per page, and those of the classes nested in its slots.
 
-    A class is valid if its tags keep one order in all pages. Classes nest if each lies within one gap of the
-    other; those that do not are left out, smallest first. Repeated tags (rows of a list, paragraphs) have
-    vectors of their own: they stay inside the slots between root tags.
+    A class of the root is valid if its tags keep one order in all pages, also against the classes chosen before;
+    those that do not are left out, smallest first. A class of repeated tags (rows of a list, paragraphs) is valid if
+    every page repeats its tags in one order. One that does not is cut into single tags: roles carry the
+    elements around a tag, so each of them still lies within one slot of what it is nested in.
     """
     classes = defaultdict(list)
-    for label, vector in equivalence_classes(pages).items():
-        if set(vector) <= {0, 1}:
-            classes[vector].append(label)
-    places = [{t.label: k for k, t in enumerate(page) if t.kind != "text"} for page in pages]
-    chosen: list[str] = []
-    for _, labels in sorted(classes.items(), key=lambda c: (-sum(c[0]), -len(c[1]))):
-        wanted = [*chosen, *labels]
-        rank = {label: sum(p.get(label, 0) / max(1, len(q)) for p, q in zip(places, pages, strict=True)) for label in wanted}
+    for role, vector in equivalence_classes(pages).items():
+        classes[vector].append(role)
+    once = {v: c for v, c in classes.items() if set(v) <= {0, 1}}
+    places = [{t.role: k for k, t in enumerate(page) if t.kind != "text"} for page in pages]
+    chosen: list[int] = []
+    for _, roles in sorted(once.items(), key=lambda c: (-sum(c[0]), -len(c[1]))):
+        wanted = [*chosen, *roles]
+        rank = {role: sum(p.get(role, 0) / max(1, len(q)) for p, q in zip(places, pages, strict=True)) for role in wanted}
         order = sorted(wanted, key=rank.get)
         if all(_increasing([p[x] for x in order if x in p]) for p in places):
             chosen = order
-    return chosen
+    return set(chosen).union(*(c for v, c in classes.items() if v not in once))
 
 
 def _increasing(values: list[int]) -> bool:
     return all(a < b for a, b in zip(values, values[1:], strict=False))
 
 
-def slots_of(page: list[Token], template: list[str]) -> list[tuple[str, list[Token]]]:
-    """(label of the root tag before, tokens) for each slot between the template's tags that this page has."""
-    root, out, label, current = set(template), [], "", []
+def slots_of(page: list[Token], template: set[int]) -> list[tuple[int, list[Token]]]:
+    """(role of the template's tag before, tokens) for each slot between the template's tags that this page has."""
+    out, role, current = [], 0, []
     for t in page:
-        if t.kind != "text" and t.label in root:
-            out.append((label, current))
-            label, current = t.label, []
+        if t.kind != "text" and t.role in template:
+            out.append((role, current))
+            role, current = t.role, []
         current.append(t)
-    out.append((label, current))
+    out.append((role, current))
     return out
 
 
-def constant_slots(pages: list[list[Token]], template: list[str]) -> set[str]:
-    """Slots whose text is the same in nearly all pages though the pages differ: part of the template."""
-    seen: dict[str, Counter] = defaultdict(Counter)
-    for page in pages:
-        for label, part in slots_of(page, template):
-            seen[label][_SPACE.sub(" ", "".join(t.text for t in part)).strip()] += 1
-    whole = Counter(tuple(t.text for t in page) for page in pages)
-    if max(whole.values(), default=0) > len(pages) / 2:  # copies of one page show nothing
-        return set()
-    return {label for label, texts in seen.items() if texts.most_common(1)[0][1] >= max(LEAST_PAGES, 0.9 * len(pages))}
+def _text(part: list[Token]) -> str:
+    return _SPACE.sub(" ", "".join(t.text for t in part)).strip()
+
+
+def _by_role(slots: list[tuple[int, list[Token]]]) -> dict[int, list[str]]:
+    texts = defaultdict(list)
+    for role, part in slots:
+        texts[role].append(_text(part))
+    return texts
+
+
+@dataclass(slots=True)
+class Constant:
+    """What slots hold in nearly all pages: the one text of each occurrence, and all texts of a page in order."""
 
+    each: dict[int, str]
+    pages: dict[int, list[str]]
 
-def extract(page: list[Token], template: list[str], constant: set[str]) -> str:
+    def fixed(self, slots: list[tuple[int, list[Token]]]) -> set[int]:
+        """Places of the slots of a page whose text is the template's."""
+        texts = _by_role(slots)
+        whole = {role for role, own in texts.items() if any(own) and own == self.pages.get(role)}
+        return {i for i, (role, part) in enumerate(slots) if role in whole or (role in self.each and _text(part) == self.each[role])}
+
+
+def constant_slots(pages: list[list[Token]], template: set[int]) -> Constant:
+    """Texts that slots hold in nearly all pages though the pages differ: part of the template.
+
+    A slot of a repeated tag is constant by occurrence (the same words after every row) or by page (the same list
+    in every page). A page with another text in such a slot has content there.
+    """
+    constant = Constant({}, {})
+    whole = Counter(tuple(t.text for t in page) for page in pages)
+    if max(whole.values(), default=0) > len(pages) / 2:  # copies of one page show nothing
+        return constant
+    by_page, by_row, having = defaultdict(Counter), defaultdict(Counter), Counter()
+    for page in pages:
+        for role, texts in _by_role(slots_of(page, template)).items():
+            by_page[role][tuple(texts)] += 1
+            by_row[role].update(texts)
+            having[role] += any(texts)
+    least = max(LEAST_PAGES, 0.9 * len(pages))
+    for role, seen in by_page.items():
+        texts, n = seen.most_common(1)[0]
+        if any(texts) and n >= least:
+            constant.pages[role] = list(texts)
+        text, n = by_row[role].most_common(1)[0]
+        if text and having[role] >= least and n >= 0.9 * by_row[role].total():
+            constant.each[role] = text
+    return constant
+
+
+def extract(page: list[Token], template: set[int], constant: Constant) -> str:
     """Text of the slots that are left when the template and what is not the article are taken away.
 
-    Where a page marks an article, only slots inside it count, and none of them is taken for template text.
+    Where a page marks an article, only slots inside it count, and the template decides among these as it does
+    elsewhere. Only if it would take more than half of the marked text are pages near copies of each other, and the mark wins.
     """
+    slots = slots_of(page, template)
     marked = "article" if any(t.main and t.name == "article" for t in page) else "main" if any(t.main for t in page) else ""
+    fixed = constant.fixed(slots)
+    text = _extract(slots, marked, fixed)
+    if marked and fixed and 2 * len(text) < len(whole := _extract(slots, marked, set())):
+        return whole
+    return text
+
+
+def _extract(slots: list[tuple[int, list[Token]]], marked: str, fixed: set[int]) -> str:
     blocks, words = [], []
     skip: list[str] = []  # open elements that are not the article, and what is open inside them
     inside: list[str] = []
@@ -152,10 +235,10 @@ def extract(page: list[Token], template: list[str], constant: set[str]) -> str:
             blocks.append(text)
         words.clear()
 
-    for label, part in slots_of(page, template):
+    for i, (_, part) in enumerate(slots):
         for t in part:
             if t.kind == "text":
-                if not skip and (inside if marked else label not in constant):
+                if not skip and i not in fixed and (inside or not marked):
                     words.append(t.text)
                 continue
             if t.name not in _INLINE:
@@ -190,8 +273,8 @@ def extract(page: list[Token], template: list[str], constant: set[str]) -> str:
 def extract_group(pages: list[str]) -> list[str]:
     """Main texts of pages of one host."""
     parsed = [tokens_of(p) for p in pages]
-    template = template_of(parsed) if len(parsed) >= LEAST_PAGES else []
-    constant = constant_slots(parsed, template) if template else set()
+    template = template_of(parsed) if len(parsed) >= LEAST_PAGES else set()
+    constant = constant_slots(parsed, template) if template else Constant({}, {})
     return [extract(p, template, constant) for p in parsed]
 
 
