@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Licence sentences after `normalised` (lower case, runs of other characters than a-z 0-9 as one space).
+# Licence sentences, normalised (lower case, runs of other characters than a-z 0-9 as one space).
 SENTENCES = {
     "apache2-licensed": "licensed under the apache license version 2 0",
     "apache2-the-license": "licensed under the apache license version 2 0 the license",
@@ -38,6 +38,11 @@ SENTENCES = {
     "spdx-apache2": "spdx license identifier apache 2 0",
     "spdx-gpl3": "spdx license identifier gpl 3 0 only",
 }
+# The same identifiers as published, where the wording goes on in the same sentence.
+PUBLISHED = {
+    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+}
 # Fixed values: (rule, licence, identifiers in order), most specific first; a rule takes what it matches from later ones.
 RULES = [
     ("apache2-notice", "Apache-2.0", ["apache2-the-license", "apache2-not-use", "apache2-copy", "apache2-as-is"]),
@@ -68,15 +73,23 @@ RULES = [
 HINTS = "(?i)licen[sc]|cc by|permission|redistribut|copyright|warrant|cc0|unencumbered"
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, runs of other characters than a-z and 0-9 as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def fragments_of(text: Column) -> Column:
+    """`text` as one normalised fragment to a line, with a line feed at both ends.
+
+    Lines are cut after `.`, `!`, `?`, `;` or `:` and white space; a line that goes on in lower case belongs to the one
+    before, except after an SPDX tag, which ends with its line. Fragments are in lower case, with runs of other
+    characters than a-z and 0-9 as one space, trimmed; empty ones are left out.
+    """
+    tagged = F.regexp_replace(text, r"(?i)(spdx-license-identifier:[^\n]*\n)", "$1\n")
+    unwrapped = F.regexp_replace(tagged, r"\n[ \t*#/]*([a-z])", " $1")
+    cut = F.regexp_replace(unwrapped, r"([.!?;:])[ \t\r]+", "$1\n")
+    plain = F.regexp_replace(F.lower(cut), r"[^a-z0-9\n]+", " ")
+    return F.concat(F.lit("\n"), F.regexp_replace(F.regexp_replace(plain, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", ""), F.lit("\n"))
 
 
-def sentences_of(text: Column) -> Column:
-    """Lines cut after `.`, `!`, `?`, `;` or `:` and white space; a line that goes on in lower case belongs to the one before."""
-    unwrapped = F.regexp_replace(text, r"\n[ \t*#/]*([a-z])", " $1")
-    return F.split(F.regexp_replace(unwrapped, r"([.!?;:])[ \t\r]+", "$1\n"), "\n")
+def _in_fragments(sentence: str) -> str:
+    """Pattern of whole fragments that together are `sentence`, wherever marks or line ends cut it."""
+    return r"\n" + "[ \\n]".join(sentence.split()) + r"(?=\n)"
 
 
 def scan_licences(
@@ -84,7 +97,9 @@ def scan_licences(
 ) -> DataFrame:
     """`docs` with licence columns: sentence_ids, licences, licence_rules (arrays) and unmatched (identifiers left over).
 
-    Each sentence is normalised and looked up among the known ones. The known ones in text order form the
+    A known sentence is found where whole fragments of the text, one or several in a row, make it up: marks inside it
+    and wrapped lines cut it, but it never begins or ends inside a fragment. The longest known sentence takes its
+    fragments first. The known ones in text order form the
     sequence on which the rules are matched; unknown sentences between them are passed over. Rules run from
     the most specific on and take what they match; a match leaves a gap that no later rule bridges. Licences
     are listed once each, by name; rules likewise. All of it happens inside a row: no shuffle. Only texts
@@ -93,12 +108,15 @@ def scan_licences(
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     code = {k: chr(0xE000 + i) for i, k in enumerate(sentences)}  # one private character per identifier
-    by_sentence = F.create_map(*(F.lit(x) for k, s in sentences.items() for x in (s, code[k])))
+    wordings = [(s, k) for k, s in sentences.items()] + [(s, k) for k, s in PUBLISHED.items() if sentences.get(k) == SENTENCES[k]]
+    wordings.sort(key=lambda w: (-len(w[0]), w[0]))
     hinted = F.coalesce(F.col(text).rlike(hints), F.lit(False))
-    found = F.when(
-        hinted, F.array_join(F.transform(sentences_of(F.col(text)), lambda s: F.element_at(by_sentence, normalised(s))), "")
-    ).otherwise("")
-    df = docs.drop("sentence_ids", "licences", "licence_rules", "unmatched").withColumn("__ids", found)
+    df = docs.drop("sentence_ids", "licences", "licence_rules", "unmatched").withColumn("__ids", F.when(hinted, fragments_of(F.col(text))).otherwise(""))
+    found = F.col("__ids")
+    for sentence, k in wordings:
+        found = F.regexp_replace(found, _in_fragments(sentence), "\n" + code[k])
+    some = F.col("__ids").rlike("|".join(_in_fragments(sentence) for sentence, _ in wordings))
+    df = df.withColumn("__ids", F.when(some, F.regexp_replace(found, "[a-z0-9 \n]+", "")).otherwise(""))
     left, hits = F.col("__ids"), {}
     for name, _, ids in rules:
         run = "".join(code[i] for i in ids)
