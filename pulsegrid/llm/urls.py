@@ -89,12 +89,31 @@ def _strength(children: DataFrame, least: float, most: float) -> float:
     return min(most, max(least, 1 / share - 1)) if share > 0 else most
 
 
-def host_reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most: float = 200.0) -> DataFrame:
-    """One row per host of `outcomes` (__host, __domain, __suffix, good 0/1): posterior of its share of good pages.
+@dataclass(frozen=True)
+class Reputation:
+    """Fitted levels: hosts with their posterior, and what stands in for a host without labelled pages."""
+
+    hosts: DataFrame  # __host, labelled, good, mean, upper
+    domains: DataFrame  # __suffix, __domain, mean of the posterior
+    suffixes: DataFrame  # __suffix, mean of the posterior
+    total: float  # mean over all pages
+    weight: float  # of a host's prior, in pages
+    z: float
+
+    def unlabelled_upper(self, mean: Column) -> Column:
+        """Upper bound of a host of which only the prior around `mean` is known."""
+        return _upper(self.weight * mean, self.weight * (1 - mean), self.z)
+
+
+def _upper(a: Column, b: Column, z: float) -> Column:
+    return a / (a + b) + z * F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
+
+
+def fit_reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most: float = 200.0) -> Reputation:
+    """Posteriors of the share of good pages at each level of `outcomes` (__host, __domain, __suffix, good 0/1).
 
     Beta-binomial levels: all pages, suffix, registered domain, host. A level's prior has its parent's
     posterior mean and a weight fitted by moments over that level (between `least` and `most` pages).
-    Returns __host, labelled, good, mean and upper = mean + z deviations of the host's Beta posterior.
     Outcomes that are null count for nothing. Counts are combined on the map side, so a host with a third
     of all pages is one row per task.
     """
@@ -104,19 +123,23 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, m
         "hosts",
     )
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    parents, on = None, []
+    mean, means, on = (total.good + 1) / (total.n + 2), [], []
     for depth in (1, 2, 3):
         level = hosts.groupBy(*keys[:depth]).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-        if parents is None:
-            level = level.withColumn("mean", F.lit((total.good + 1) / (total.n + 2)))
-        else:
-            level = level.join(parents, on)
+        level = level.join(means[-1], on) if means else level.withColumn("mean", F.lit(mean))
         weight = _strength(level, least, most)
         a, b = F.col("good") + weight * F.col("mean"), F.col("n") - F.col("good") + weight * (1 - F.col("mean"))
         level = level.select(*keys[:depth], "n", "good", a.alias("a"), b.alias("b")).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
-        parents, on = level.select(*keys[:depth], "mean"), keys[:depth]
-    deviation = F.sqrt(F.col("a") * F.col("b") / (F.pow(F.col("a") + F.col("b"), 2) * (F.col("a") + F.col("b") + 1)))
-    return level.select("__host", F.col("n").alias("labelled"), "good", "mean", (F.col("mean") + z * deviation).alias("upper"))
+        if depth < 3:
+            means.append(written(level.select(*keys[:depth], "mean"), "reputation"))
+            on = keys[:depth]
+    level = level.select("__host", F.col("n").alias("labelled"), "good", "mean", _upper(F.col("a"), F.col("b"), z).alias("upper"))
+    return Reputation(written(level, "reputation"), means[1], means[0], mean, weight, z)
+
+
+def host_reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most: float = 200.0) -> DataFrame:
+    """One row per host of `outcomes`: __host, labelled, good, mean and upper = mean + z deviations of the host's Beta posterior."""
+    return fit_reputation(outcomes, z, least, most).hosts
 
 
 def filter_urls(
@@ -125,17 +148,21 @@ def filter_urls(
     """`pages` with host, path, rule, verdict, host_labelled and host_good.
 
     The longest fitting rule decides. Otherwise a host is blocked if even the upper bound of its share of
-    good pages is below `threshold`; a host without labelled pages is allowed. `outcomes` has a url column
+    good pages is below `threshold`. A host without labelled pages has the prior that hosts have around its
+    registered domain's share, else its suffix's, else that of all pages, and is judged by that prior's upper bound. `outcomes` has a url column
     of the same name and good (0/1 or null). Columns of `pages` with the names added here are replaced.
     Null urls have an empty host and path. The join of pages with hosts carries no hint: Spark broadcasts the
-    hosts by their measured size and splits a hot host otherwise.
+    hosts, domains and suffixes by their measured size and splits a hot host otherwise.
     """
     judged = with_host_parts(outcomes.select(url, "good"), url)
-    reputation = written(host_reputation(judged.select("__host", "__domain", "__suffix", "good"), z), "reputation")
-    reputation = reputation.select("__host", F.col("labelled").alias("host_labelled"), F.col("good").alias("host_good"), F.col("upper").alias("__upper"))
+    fitted = fit_reputation(judged.select("__host", "__domain", "__suffix", "good"), z)
+    reputation = fitted.hosts.select("__host", F.col("labelled").alias("host_labelled"), F.col("good").alias("host_good"), F.col("upper").alias("__upper"))
     added = ("host", "path", "rule", "verdict", "host_labelled", "host_good")
-    df = pages.drop(*(c for c in added if c != url))
-    df = df.withColumns({"__host": url_host(F.col(url)), "__path": url_path(F.col(url))}).join(reputation, "__host", "left")
+    df = with_host_parts(pages.drop(*(c for c in added if c != url)), url).join(reputation, "__host", "left")
+    df = df.join(fitted.domains.withColumnRenamed("mean", "__of_domain"), ["__suffix", "__domain"], "left")
+    df = df.join(fitted.suffixes.withColumnRenamed("mean", "__of_suffix"), "__suffix", "left")
+    prior = fitted.unlabelled_upper(F.coalesce("__of_domain", "__of_suffix", F.lit(fitted.total)))
+    df = df.withColumn("__upper", F.coalesce("__upper", prior))
     text, verdict = matching_rule(rules, F.col("__host"), F.col("__path"))
     learned = F.when(F.col("__upper") < threshold, "block").otherwise("allow")
     return df.withColumns(
@@ -143,4 +170,4 @@ def filter_urls(
             "host": F.col("__host"), "path": F.col("__path"), "rule": text, "verdict": F.coalesce(verdict, learned),
             "host_labelled": F.coalesce("host_labelled", F.lit(0).cast("long")), "host_good": F.coalesce("host_good", F.lit(0).cast("long")),
         }
-    ).drop("__host", "__path", "__upper")
+    ).drop("__host", "__path", "__suffix", "__domain", "__of_domain", "__of_suffix", "__upper")
