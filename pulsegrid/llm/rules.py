@@ -19,7 +19,8 @@ SUBSET = 0.75  # share of a group that the determinant is minimised over
 CONSISTENCY = 1.41  # makes the covariance of that share consistent for normal data of five dimensions
 NEAR = 12.83  # 0.975 quantile of chi-square, 5 degrees of freedom: the reweighting step
 LIMIT = 45.0  # squared distance above which a document is rejected
-LEAST_GROUP = 100  # smaller groups share the estimates of their language's small groups
+LEAST_GROUP = 100  # smaller groups share the estimates of their language's small groups, still smaller ones those of all documents
+EVERY = "\x1f\x1f"  # group of all documents
 STEPS = 4
 
 
@@ -175,7 +176,7 @@ def judge_quality(docs: DataFrame, *, key: str = "doc_id", text: str = "text", l
 
     Reads the texts once; all further work is on a narrow table of counts in the shared folder. Groups are
     language and source (null: empty); those with fewer than 100 documents that pass the base rules share the
-    estimates of their language's small groups, and a shared group that is still smaller rejects nothing.
+    estimates of their language's small groups; if these are still fewer than 100, those of all documents, however few.
     A null text is empty and fails the base rules. One row per row of `docs`, repeated keys included.
     """
     stats = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__text_hash"),
@@ -184,9 +185,13 @@ def judge_quality(docs: DataFrame, *, key: str = "doc_id", text: str = "text", l
     stats = written(stats.select(key, "__text_hash", "__lang", "__source", "__s.*"), "counts").withColumn("base_failed", base_failed())
     sizes = stats.where(~F.col("base_failed")).groupBy("__lang", "__source").agg(F.count("*").alias("n"))
     sizes = sizes.select("__lang", "__source", F.when(F.col("n") >= LEAST_GROUP, F.concat_ws("\x1f", "__lang", "__source")).otherwise(F.col("__lang")).alias("g"), "n")
-    enough = sizes.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_GROUP).select("g")
-    groups = written(sizes.select("__lang", "__source", "g").join(enough, "g"), "groups")
+    enough = sizes.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_GROUP).select("g", F.lit(True).alias("enough"))
+    groups = sizes.join(enough, "g", "left").select("__lang", "__source", F.when(F.col("enough"), F.col("g")).otherwise(EVERY).alias("g"))
+    groups = written(groups, "groups")
     vectors = stats.where(~F.col("base_failed")).join(groups, ["__lang", "__source"]).select("g", *(v.alias(f"x{i}") for i, v in enumerate(_vector())))
+    if groups.where(F.col("g") == EVERY).limit(1).count():  # then every document also counts for the estimates of all
+        own = F.when(F.col("g") == EVERY, F.array("g")).otherwise(F.array("g", F.lit(EVERY)))
+        vectors = vectors.withColumn("g", F.explode(own))
     models = written(groups.join(robust_estimates(written(vectors, "vectors")), "g"), "models")
     judged = stats.join(models, ["__lang", "__source"], "left")
     distance = F.when(~F.col("base_failed"), _distance(_vector(), F.col("centre"), F.col("inverse")))
