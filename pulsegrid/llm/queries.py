@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, fuzzy_lines, licences, minhash, packing, pages, pieces, quality, rules, urls
+from pulsegrid.llm import edit_prints, filter_audit, fuzzy_lines, licences, minhash, packing, pages, pieces, quality, rules, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,46 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     lines = F.size(F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     return fuzzy_lines.dedup_lines(docs.withColumn("n_lines", lines)).withColumn("n_kept", lines)
+
+
+# Every order of the filters, applied to each mask: the step that removes it is the least place of a filter it fails.
+_AUDIT_SQL = r"""
+    WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    own AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id),
+    words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS first
+              FROM docs),
+    flags AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                     [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+                      100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+                      regexp_matches(t, '[#$%&*|]'), coalesce(first < doc_id, false)] AS fails
+              FROM words LEFT JOIN own USING (doc_id)),
+    masks AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY ALL),
+    f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM f a, f b, f c, f d, f e
+               WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    gone AS (SELECT part, o, fails, n, good, toxic,
+                    list_min([CASE WHEN fails[i] THEN instr(o, 'ABCDE'[i]) ELSE 6 END for i in [1, 2, 3, 4, 5]]) AS hit
+             FROM masks, orders),
+    steps AS (SELECT part, o, step, o[step] AS x, n, good, toxic, fails, hit, fails[instr('ABCDE', o[step])] AS own
+              FROM gone, (VALUES (1), (2), (3), (4), (5)) s(step)),
+    sums AS (SELECT part, o AS filter_order, step, x,
+                    sum(CASE WHEN hit > step THEN n ELSE 0 END) AS kept,
+                    sum(CASE WHEN hit = step THEN n ELSE 0 END) AS removed,
+                    sum(CASE WHEN own AND hit < step THEN n ELSE 0 END) AS redundant,
+                    sum(CASE WHEN own AND len(list_filter(fails, lambda y: y)) = 1 THEN n ELSE 0 END) AS unique_fails,
+                    sum(CASE WHEN hit = step THEN good ELSE 0 END) AS good_lost,
+                    sum(CASE WHEN hit = step THEN toxic ELSE 0 END) AS toxic_lost
+             FROM steps GROUP BY ALL)
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+    FROM sums"""
+
+
+@query("op13_filter_audit", _AUDIT_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in all 120 orders, per language."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    counts = filter_audit.mask_counts(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return filter_audit.audit_filters(counts)
