@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import edit_prints, filter_audit, fuzzy_lines, licences, minhash, packing, pages, pieces, quality, rules, urls
+from pulsegrid.llm import edit_prints, filter_audit, fuzzy_lines, licences, minhash, packing, pages, pieces, prefix_trie, quality, rules, toxicity, urls
 from pulsegrid.llm.common import UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,53 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     counts = filter_audit.mask_counts(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return filter_audit.audit_filters(counts)
+
+
+def shared_starts(conversations: DataFrame, family: int = 5, most: int = 9) -> DataFrame:
+    """Sequences of turns in which the first crc32(id) % `most` turns come from the first conversation of the family."""
+    own = prefix_trie.turn_sequences(conversations)
+    own = own.withColumn("h", (F.crc32(F.col("id").cast("string")) % most).cast("int")).withColumn("base", F.col("id") - F.col("id") % family)
+    first = own.where("id = base").select("base", *(F.slice(c, 1, most - 1).alias(f"first_{c}") for c in ("keys", "sizes")))
+    spliced = lambda c: F.concat(F.slice(F.coalesce(f"first_{c}", F.slice(c, 1, 0)), F.lit(1), F.col("h")), F.slice(c, F.col("h") + 1, F.size(c)))
+    return own.join(first, "base", "left").select("id", *(spliced(c).alias(c) for c in ("keys", "sizes")))
+
+
+# h is the CRC-32 of the decimal number; a node is known by the digests of its turns.
+_TRIE_SQL = """
+    WITH codes AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8),
+                       lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS codes),
+    turns AS (SELECT conv_id AS c, turn, r, sha256(strlen(r) || ':' || r || t) AS k, strlen(t) AS b
+              FROM (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)),
+    own AS (SELECT c, list({'k': k, 'b': b} ORDER BY turn NULLS FIRST, r, k) AS s FROM turns GROUP BY c),
+    lengths AS (SELECT own.*, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                    lambda a, x: xor(a >> 8, codes[(xor(a, x) & 255) + 1]), 4294967295), 4294967295) % 9 AS h FROM own, codes),
+    built AS (SELECT l.c, list_concat(coalesce(p.s[1:l.h], []), l.s[l.h + 1:]) AS s
+              FROM lengths l LEFT JOIN own p ON p.c = l.c - l.c % 5),
+    pre AS (SELECT c, d, len(s) AS n, CASE WHEN d > 0 THEN s[d].b ELSE 0 END AS b, array_to_string(list_transform(s[1:d], lambda e: e.k), '') AS p
+            FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM built)),
+    nodes AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, min(b) AS b,
+                     sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256 FROM pre GROUP BY p, d),
+    up AS (SELECT v.p, u.p AS parent, u.conv_id AS parent_conv_id
+           FROM nodes v JOIN pre ON pre.c = v.conv_id AND pre.d = v.d - 1 JOIN nodes u ON u.p = pre.p AND u.d = pre.d),
+    kids AS (SELECT parent AS p, count(*) AS n_children FROM up GROUP BY parent),
+    known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, parent_conv_id FROM nodes LEFT JOIN kids USING (p) LEFT JOIN up USING (p)),
+    below AS (SELECT pre.p, pre.d, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.b) AS saved_tokens
+              FROM known v JOIN pre ON pre.c = v.conv_id AND pre.d <= v.d GROUP BY pre.p, pre.d)
+    SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM known JOIN below USING (p, d)"""
+
+
+@query("op12_prefix_trie", _TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, each started with turns of the first of its family."""
+    return prefix_trie.trie_nodes(shared_starts(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learned from labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit_toxicity(docs, toxicity.learnable(table(spark, sf_dir, "labels", "doc_id", "toxic")))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
