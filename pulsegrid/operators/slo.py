@@ -189,25 +189,29 @@ def consumer_lag(
 
 
 def forecast_replicas(
-    counts: DataFrame, keys: list[str], step_ms: int, now: Column, ahead_ms: int = 15 * MINUTE, span_ms: int = 24 * HOUR
+    counts: DataFrame, keys: list[str], step_ms: int, now: Column, ahead_ms: int = 15 * MINUTE, span_ms: int = HOUR
 ) -> DataFrame:
     """Linear traffic trend per key, its value `ahead_ms` after `now`, and the replicas it needs.
 
-    The trend is that of the closed steps of the last `span_ms`, those without events included, for keys with
-    events among them.
+    The trend is that of the closed steps of the last `span_ms`. A step without events counts as zero from the key's
+    first step on: what came before a tenant's first event is no traffic of it. With one closed step the trend is
+    flat; a key whose first step is still open has no row.
     """
     last = now - F.pmod(now, F.lit(step_ms).cast("bigint"))
+    step = F.lit(step_ms).cast("bigint")
+    first = F.greatest(F.min("window_start"), last - F.lit(span_ms)).alias("_first")
+    spans = counts.groupBy(*keys).agg(first).where(F.col("_first") < last)
+    grid = spans.select(*keys, F.explode(F.sequence("_first", last - step, step)).alias("window_start"))
     recent = counts.where((F.col("window_start") >= last - F.lit(span_ms)) & (F.col("window_start") < last))
-    steps = F.sequence(last - F.lit(span_ms), last - F.lit(step_ms), F.lit(step_ms).cast("bigint"))
-    grid = recent.select(*keys).distinct().withColumn("window_start", F.explode(steps))
     counts = grid.join(recent, [*keys, "window_start"], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
     x = (F.col("window_start") - now) / F.lit(float(MINUTE))
     y = F.col("count") / F.lit(step_ms / 1000.0)
     fit = counts.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys).agg(
-        F.regr_slope("y", "x").alias("slope_per_minute"), F.regr_intercept("y", "x").alias("rate_now")
+        F.coalesce(F.regr_slope("y", "x"), F.lit(0.0)).alias("slope_per_minute"),
+        F.coalesce(F.regr_intercept("y", "x"), F.avg("y")).alias("rate_now"),
     )
     ahead = F.greatest(F.col("rate_now") + F.col("slope_per_minute") * F.lit(ahead_ms / MINUTE), F.lit(0.0))
     needed = F.ceil(F.col("forecast_rate") / F.lit(float(EVENTS_PER_REPLICA)))
-    return fit.withColumn("forecast_rate", F.coalesce(ahead, F.lit(0.0))).withColumn(
+    return fit.withColumn("forecast_rate", ahead).withColumn(
         "replicas", F.least(F.greatest(needed, F.lit(MIN_REPLICAS)), F.lit(MAX_REPLICAS)).cast("bigint")
     )

@@ -229,8 +229,11 @@ def approx_metrics(
     ts: str = "timestamp",
     value: str = "value",
 ) -> DataFrame:
-    """Mergeable partials: count, sum and a KLL sketch per window, for very large windows."""
-    slim = events.select(*keys, ts, value)
+    """Mergeable partials: count, sum and a KLL sketch per window, for very large windows.
+
+    The same events count with the same values as in `window_metrics`.
+    """
+    slim = countable(events, keys, ts, value, None)
     base = min(durations.values())
     minute = slim.groupBy(*keys, floor_ms(ts, base).alias("_base")).agg(
         F.count("*").alias("count"), F.sum(value).alias("sum"), F.kll_sketch_agg_double(value).alias("sketch")

@@ -73,7 +73,8 @@ def zscore_windows_query(spark, sf_dir):
 
 
 @query("zscore_windows_zero_filled", check_sql("""
-    , span AS (SELECT tenant_id, event_type, min(window_start) AS a, max(window_start) AS b FROM hourly GROUP BY ALL),
+    , span AS (SELECT tenant_id, event_type, min(window_start) AS a, (SELECT max(window_start) FROM hourly) AS b
+               FROM hourly GROUP BY ALL),
     grid AS (SELECT tenant_id, event_type, unnest(range(a, b + 1, 3600000)) AS window_start FROM span),
     filled AS (SELECT g.*, coalesce(h.count, 0) AS count FROM grid g LEFT JOIN hourly h USING (tenant_id, event_type, window_start)),
     s AS (SELECT *, count(*) OVER w AS n, sum(count) OVER w AS s, sum(count * count) OVER w AS q FROM filled
@@ -83,7 +84,10 @@ def zscore_windows_query(spark, sf_dir):
     SELECT tenant_id, event_type, window_start, count, round(z, 6) AS z_score, z > 3.0 AS is_anomaly FROM z
     """, "hourly"))
 def zscore_windows_zero_filled(spark, sf_dir):
-    return zscore_windows(fill_empty(_hourly(spark, sf_dir), HOUR)).select(
+    """Windows without events count as zero, up to the newest window of any key: a key that falls silent is scored too."""
+    hourly = _hourly(spark, sf_dir)
+    newest = hourly.select(F.max("window_start")).scalar()
+    return zscore_windows(fill_empty(hourly, HOUR, until=newest)).select(
         "tenant_id", "event_type", "window_start", "count", F.round("z_score", 6).alias("z_score"), "is_anomaly"
     )
 

@@ -148,10 +148,12 @@ def consumer_lag(spark, sf_dir):
 
 @query("forecast_scaling", check_sql("""
     , w AS (SELECT tenant_id, timestamp - timestamp % 300000 AS s, count(*) AS n FROM canon GROUP BY ALL),
-    k AS (SELECT DISTINCT tenant_id FROM w, clock WHERE s >= now - now % 300000 - 86400000 AND s < now - now % 300000),
-    g AS (SELECT tenant_id, now, now - now % 300000 - i * 300000 AS s FROM k, clock, range(1, 289) r(i)),
+    k AS (SELECT tenant_id, min(s) AS since FROM w GROUP BY tenant_id),
+    g AS (SELECT tenant_id, now, now - now % 300000 - i * 300000 AS s FROM k, clock, range(1, 13) r(i)
+          WHERE now - now % 300000 - i * 300000 >= since),
     y AS (SELECT g.tenant_id, (g.s - now) / 60000.0 AS x, coalesce(n, 0) / 300.0 AS y FROM g LEFT JOIN w USING (tenant_id, s)),
-    f AS (SELECT tenant_id, regr_slope(y, x) AS slope, regr_intercept(y, x) AS at_now FROM y GROUP BY tenant_id)
+    f AS (SELECT tenant_id, CASE WHEN count(*) > 1 THEN regr_slope(y, x) ELSE 0.0 END AS slope,
+                 CASE WHEN count(*) > 1 THEN regr_intercept(y, x) ELSE avg(y) END AS at_now FROM y GROUP BY tenant_id)
     SELECT tenant_id, round(slope, 9) AS slope_per_minute, round(at_now, 6) AS rate_now,
            round(greatest(at_now + slope * 15, 0.0), 6) AS forecast_rate,
            CAST(least(greatest(ceil(greatest(at_now + slope * 15, 0.0) / 5000.0), 3), 20) AS BIGINT) AS replicas

@@ -98,6 +98,17 @@ def test_replicas_are_clamped(spark, per_step, replicas):
     assert slo.forecast_replicas(df, ["tenant_id"], 300_000, now).first()["replicas"] == replicas
 
 
+def test_forecast_of_young_silent_and_growing_tenants(spark):
+    step, now = 300_000, 40 * 300_000
+    rows = [("young", now - i * step, 300 * 900_000) for i in range(1, 5)] + [("silent", step, 300 * 50_000), ("open", now, 10**9)]
+    rows += [("grows", now - i * step, 300 * (20_000 - 1_000 * i)) for i in range(1, 13)] + [("one", now - step, 300 * 30_000)]
+    df = spark.createDataFrame(rows, "tenant_id string, window_start bigint, count bigint")
+    got = {r["tenant_id"]: r for r in slo.forecast_replicas(df, ["tenant_id"], step, F.lit(now).cast("bigint")).collect()}
+    assert {k: r["replicas"] for k, r in got.items()} == {"young": 20, "silent": 3, "grows": 5, "one": 6}
+    assert got["young"]["rate_now"] == pytest.approx(900_000)
+    assert got["grows"]["slope_per_minute"] == pytest.approx(200) and got["grows"]["forecast_rate"] == pytest.approx(23_000)
+
+
 def test_request_defaults(spark):
     df = spark.createDataFrame([("60", "7", "x", ""), (" 5", "", "9", "tumbling_1h")], "minutes string, from string, to string, window string")
     got = [tuple(r)[4:] for r in with_request_defaults(df, 5_000_000).collect()]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.timing import MINUTE, TUMBLING, floor_ms
 from pulsegrid.operators.sessions import session_windows
-from pulsegrid.operators.windows import fill_empty, sliding_counts, window_counts, window_metrics
+from pulsegrid.operators.windows import approx_metrics, fill_empty, finish_approx, sliding_counts, window_counts, window_metrics
 
 HOUR_WINDOW = {"tumbling_1h": 3_600_000}
 
@@ -131,3 +131,12 @@ def test_gap_of_exactly_the_limit_ends_a_session(spark):
     rows = [("t", "u", 0), ("t", "u", 1_800_000), ("t", "u", 3_599_999)]
     df = spark.createDataFrame(rows, "tenant_id string, user_id string, timestamp bigint")
     assert sorted(r["count"] for r in session_windows(df).collect()) == [1, 2]
+
+
+def test_approximate_metrics_count_the_same_events_and_values(spark):
+    rows = [("t", "e", 5, None), ("t", "e", 6, 5.0), (None, "e", 7, float("nan")), ("t", None, 8, float("inf")), ("t", "e", None, 1.0)]
+    exact = window_metrics(frame(spark, rows), HOUR_WINDOW)
+    approx = finish_approx(approx_metrics(frame(spark, rows), HOUR_WINDOW))
+    columns = ["tenant_id", "event_type", "window_start", "count", "sum", "avg", "p99"]
+    assert sorted(approx.select(*columns).collect()) == sorted(exact.select(*columns).collect())
+    assert {r["sum"] for r in exact.collect()} == {6.0, 1.0}
