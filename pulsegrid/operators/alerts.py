@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import alert_message, severity_color, severity_rank
 from ..functions.timing import HOUR, MINUTE, RULE_WINDOWS, TUMBLING, col
 from ..schemas import ALERT_RULE, FIRED_ALERT
-from .dedup import fold_rows
+from .chains import mark_chain
 from .sessions import number_by_gap
 
 COOLDOWN = 5 * MINUTE
@@ -132,7 +132,7 @@ def fire(
         F.min_by(F.struct(*[c for c in candidates.columns if c not in (*keys, "fired_at")]),
                  F.struct("tenant_id", "event_type", "window_type")).alias("_c")
     )
-    kept = fold_rows(first, keys, "fired_at", cooldown_ms).select(*keys, "fired_at", "_c.*")
+    kept = mark_chain(first, keys, "fired_at", cooldown_ms).where("_taken").select(*keys, "fired_at", "_c.*")
     key = F.concat_ws(":", "rule_id", "tenant_id", F.col("fired_at").cast("string"))
     return kept.select(
         F.concat(F.lit("alert-"), F.md5(key)).alias("id"),

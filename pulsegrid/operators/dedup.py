@@ -8,11 +8,8 @@ does not extend the period. The rule is greedy, so it is a chain of accepted tim
   those are few Spark broadcasts them at run time and full rows are not shuffled at all.
 * Copies with the same key and millisecond collapse during the map side of an aggregation.
 * A key whose copies all lie within one period accepts just its first arrival: an aggregation.
-* Keys of a limited number of rows fold their sorted times in one pass.
-* For larger keys, time is cut into periods of `ttl_ms` and every period into slots. The chain moves
-  from one period to the same slot or a later one of the next period, and it always enters a slot
-  at the slot's first arrival. So each (key, slot) can follow its own chains alone, and what is
-  left per key is one entry per slot and period: bounded by the time span, not by the rows.
+* All other repeated keys go through `chains.mark_chain`: blocks of time are worked on apart, whatever a key's share
+  of the rows, and joined by the few steps that a block's effect on the chain has.
 """
 
 from __future__ import annotations
@@ -21,118 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timing import DAY
+from .chains import mark_chain
 
 DEDUP_TTL = DAY
-SLOTS = 1024
-FOLD_BLOCK = 64
-FOLD_LIMIT = 10_000
-
-
-def _chain(days: Column, i: Column, entry: Column, ttl: int) -> Column:
-    """Follow the chain that enters at the first arrival of the i-th period of a slot."""
-    start = F.struct(
-        F.array(entry.day * F.lit(ttl) + entry.offs[0]).alias("times"),
-        entry.day.alias("day"),
-        entry.offs[0].alias("off"),
-        F.lit(True).alias("open"),
-    )
-
-    def step(s: Column, d: Column) -> Column:
-        reach = s.open & (d.day == s.day + 1) & (F.element_at(d.offs, -1) >= s.off)
-        nxt = F.filter(d.offs, lambda o: o >= s.off)[0]
-        moved = F.struct(
-            F.concat(s.times, F.array(d.day * F.lit(ttl) + nxt)).alias("times"),
-            d.day.alias("day"),
-            nxt.alias("off"),
-            F.lit(True).alias("open"),
-        )
-        closed = F.struct(
-            s.times.alias("times"), s.day.alias("day"), s.off.alias("off"), F.lit(False).alias("open")
-        )
-        return F.when(reach, moved).otherwise(closed)
-
-    return F.aggregate(F.slice(days, i + 2, F.size(days)), start, step)
-
-
-def chain_times(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int, slots: int = SLOTS) -> DataFrame:
-    """Accepted times of distinct (keys, ts) rows, by slots (see the module text)."""
-    width = -(-ttl_ms // slots)
-    off = F.pmod(F.col(ts), F.lit(ttl_ms).cast("bigint"))
-    cells = (
-        moments.select(*keys, off.alias("off"), F.expr(f"({ts} - pmod({ts}, {ttl_ms}L)) div {ttl_ms}L").alias("day"))
-        .withColumn("slot", F.expr(f"off div {width}"))
-        .groupBy(*keys, "slot", "day")
-        .agg(F.sort_array(F.collect_list("off")).alias("offs"))
-    )
-    per_slot = cells.groupBy(*keys, "slot").agg(
-        F.sort_array(F.collect_list(F.struct("day", "offs"))).alias("days")
-    )
-    entries = per_slot.select(
-        *keys,
-        "slot",
-        F.inline(
-            F.transform(
-                "days",
-                lambda d, i: F.struct(
-                    d.day.alias("entry"), _chain(F.col("days"), i, d, ttl_ms).alias("walk")
-                ),
-            )
-        ),
-    )
-    cell = F.col("entry") * F.lit(slots) + F.col("slot")
-    jump = (F.col("walk.day") + 1) * F.lit(slots) + F.col("slot")
-    per_key = entries.groupBy(*keys).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(cell.alias("cell"), jump.alias("jump"), F.col("walk.times").alias("times"))
-            )
-        ).alias("cells")
-    )
-    first = F.struct(
-        F.lit(None).cast("bigint").alias("after"), F.array().cast("array<bigint>").alias("times")
-    )
-    walked = F.aggregate(
-        "cells",
-        first,
-        lambda s, c: F.when(
-            s.after.isNull() | (c.cell > s.after),
-            F.struct(c.jump.alias("after"), F.concat(s.times, c.times).alias("times")),
-        ).otherwise(s),
-        lambda s: s.times,
-    )
-    return per_key.select(*keys, F.explode(walked).alias(ts))
-
 
-def fold_rows(moments: DataFrame, keys: list[str], ts: str, ttl_ms: int) -> DataFrame:
-    """The same chain by one pass over the rows of a key, at most one row per (keys, ts).
 
-    For keys whose number of distinct times is bounded by a time grid (window ends, for one).
-    Spark copies the state of an `aggregate` at every step, so rows are folded block by block:
-    steps inside a block only carry what that block keeps.
-    """
-    rest = [c for c in moments.columns if c not in (*keys, ts)]
-    none = "slice(_rows, 1, 0)"
-    step = f"""
-        CASE WHEN b.last IS NOT NULL AND r.{ts} - b.last < {ttl_ms} THEN b
-             ELSE named_struct('last', r.{ts}, 'kept', concat(b.kept, array(r))) END"""
-    block = f"aggregate(rows, named_struct('last', s.last, 'kept', {none}), (b, r) -> {step})"
-    blocks = f"""transform(sequence(0, (size(_rows) - 1) div {FOLD_BLOCK}),
-                           i -> slice(_rows, i * {FOLD_BLOCK} + 1, {FOLD_BLOCK}))"""
-    kept = f"""
-        aggregate({blocks}, named_struct('last', cast(null as bigint), 'kept', {none}),
-                  (s, rows) -> transform(array({block}), b ->
-                      named_struct('last', b.last, 'kept', concat(s.kept, b.kept)))[0],
-                  s -> s.kept)"""
-    return (
-        moments.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(ts, *rest))).alias("_rows"))
-        .selectExpr(*keys, f"inline({kept})")
-    )
-
-
-def verdicts(
-    df: DataFrame, keys: list[str], ts: str, seq: str, ttl_ms: int = DEDUP_TTL, fold_limit: int = FOLD_LIMIT
-) -> DataFrame:
+def verdicts(df: DataFrame, keys: list[str], ts: str, seq: str, ttl_ms: int = DEDUP_TTL) -> DataFrame:
     """One row per (keys, ts) of repeated keys: `_first`, the first sequence there, and `_taken`.
 
     The row (keys, ts, _first) is accepted if `_taken`; all others with these (keys, ts) are not.
@@ -150,25 +41,21 @@ def verdicts(
         .agg(F.min(seq).alias("_first"), *[F.min(c).alias(c) for c in ("_n", "_lo", "_hi")])
         .where("_first IS NOT NULL")
     )
-    spread = moments.where(f"_hi - _lo >= {ttl_ms}")
-    folded = fold_rows(spread.where(f"_n <= {fold_limit}").select(*keys, ts), keys, ts, ttl_ms)
-    walked = chain_times(spread.where(f"_n > {fold_limit}"), keys, ts, ttl_ms)
-    chained = folded.unionByName(walked).withColumn("_taken", F.lit(True))
     brief = moments.where(f"_hi - _lo < {ttl_ms}").selectExpr(*keys, ts, "_first", f"{ts} = _lo AS _taken")
-    long = spread.select(*keys, ts, "_first").join(chained, [*keys, ts], "left")
-    return brief.unionByName(long.withColumn("_taken", F.coalesce("_taken", F.lit(False))))
+    spread = moments.where(f"_hi - _lo >= {ttl_ms}")
+    return brief.unionByName(mark_chain(spread, keys, ts, ttl_ms).select(*keys, ts, "_first", "_taken"))
 
 
 def mark_duplicates(
     df: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL,
-    eligible: Column | None = None, fold_limit: int = FOLD_LIMIT,
+    eligible: Column | None = None,
 ) -> DataFrame:
     """All rows with `is_duplicate`; `seq` orders arrivals of the same millisecond and is unique.
 
     Rows that are not `eligible` neither are duplicates nor make others so.
     """
     counted = df if eligible is None else df.where(eligible)
-    known = verdicts(counted, keys, ts, seq, ttl_ms, fold_limit)
+    known = verdicts(counted, keys, ts, seq, ttl_ms)
     duplicate = F.coalesce(~F.col("_taken") | (F.col(seq) != F.col("_first")), F.lit(False))
     if eligible is not None:
         duplicate = duplicate & eligible

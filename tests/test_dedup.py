@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.dedup import dedup_increment, drop_duplicates, fold_rows, mark_duplicates
+from pulsegrid.operators.dedup import dedup_increment, drop_duplicates, mark_duplicates
 
 HOUR, DAY = 3_600_000, 86_400_000
 
@@ -42,11 +42,10 @@ def data(seed, n=4000, span=12 * DAY):
     return rows
 
 
-@pytest.mark.parametrize("fold_limit", [0, 100, 10_000])
 @pytest.mark.parametrize("ttl", [DAY, 5 * HOUR])
-def test_against_a_loop(spark, fold_limit, ttl):
+def test_against_a_loop(spark, ttl):
     rows = data(ttl)
-    marked = mark_duplicates(frame(spark, rows), ["id"], ttl_ms=ttl, fold_limit=fold_limit)
+    marked = mark_duplicates(frame(spark, rows), ["id"], ttl_ms=ttl)
     got = {(r["id"], r["timestamp"], r["seq"]) for r in marked.where("NOT is_duplicate").collect()}
     assert got == loop(rows, ttl)
     assert marked.count() == len(rows)
@@ -66,10 +65,3 @@ def test_increments_equal_one_pass(spark):
     new = dedup_increment(df.where(F.col("timestamp") >= cut), seen, ["id"])
     got = {(r["id"], r["timestamp"], r["seq"]) for r in seen.unionByName(new).collect()}
     assert got == loop(rows, DAY)
-
-
-@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
-def test_fold_over_block_edges(spark, n):
-    df = spark.range(n).selectExpr("'a' AS id", "id * 60000 AS t", "id AS tag")
-    got = sorted(r["t"] for r in fold_rows(df, ["id"], "t", 300_000).collect())
-    assert got == [t * 60_000 for t in range(0, n, 5)]
