@@ -11,15 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StructType
 
 from ..functions.timing import HOUR, TUMBLING, to_ms, to_ts, with_calendar
-from ..operators.dedup import DEDUP_TTL, dedup_increment
-from ..operators.dedup import drop_duplicates as drop_copies
+from ..operators.dedup import DEDUP_TTL
 from ..operators.ingest import apply_defaults, flag_late, validate
 from ..operators.views import minute_partials, revenue_per_hour
 from ..operators.windows import KEYS, window_metrics
 from ..sources.tables import to_dead_letters
+from . import stateful
 from .sources import FLUSH_INTERVAL
 
 LATENESS = "5 minutes"
@@ -163,30 +162,20 @@ def drop_duplicates(events: DataFrame, keys: list[str], horizon: str = DEDUP_HOR
 
 
 def start_exact_dedup(
-    events: DataFrame, keys: list[str], path: str, checkpoint: str, seq: str = "seq", ttl_ms: int = DEDUP_TTL
+    events: DataFrame, keys: list[str], path: str, checkpoint: str, seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = stateful.LATENESS
 ) -> DataStreamWriter:
     """Accepted events under the exact rule: a key is free again `ttl_ms` after its last acceptance.
 
-    Each micro-batch is an increment against the accepted rows of earlier ones, with the batch
-    operators, so a hot key is split as it is there. (drop_duplicates keeps less state but frees
-    a key only once the watermark has passed, up to another horizon later.)
+    State per key takes the place of the accepted table, which the job only writes. (drop_duplicates keeps less state
+    but frees a key only once the watermark has passed, up to another horizon later.)
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = staged(batch, f"{path}/_staged/batch={batch_id}")
-        accepted = f"{path}/accepted"
-        if batch_id == 0:
-            fresh = drop_copies(rows, keys, seq=seq, ttl_ms=ttl_ms)
-        else:
-            columns = StructType([rows.schema[c] for c in [*keys, "timestamp"]]).add("batch_id", LongType())
-            earlier = spark.read.schema(columns).parquet(accepted).where(F.col("batch_id") < batch_id)
-            horizon = rows.select(F.min("timestamp")).scalar() - F.lit(ttl_ms)
-            seen = earlier.where(F.col("timestamp") > horizon).drop("batch_id")
-            fresh = dedup_increment(rows, seen, keys, seq=seq, ttl_ms=ttl_ms)
-        per_batch_writer(accepted)(fresh, batch_id)
-
-    return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    use_rocksdb(events.sparkSession)  # the state store that keyed state and timers need
+    accepted = stateful.drop_duplicates_exact(events, keys, seq=seq, ttl_ms=ttl_ms, lateness=lateness)
+    return (
+        accepted.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(per_batch_writer(f"{path}/accepted"))
+    )
 
 
 def start_raw_sink(

@@ -1,6 +1,7 @@
-"""Stateful stream operators on closed windows and alert candidates.
+"""Stateful stream operators: exact duplicates, scores of closed windows, alert cooldown.
 
-Both read one row per key and window, never raw events, so a key's rows are bounded by time.
+State is one row per key and has an end: an event-time timer removes it once the watermark says that it can change
+nothing any more. Rows behind the watermark are left out by Spark, so `lateness` is how long a job waits for them.
 """
 
 from __future__ import annotations
@@ -10,31 +11,108 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
+from ..functions.timing import DAY, to_ts
 from ..operators.alerts import COOLDOWN
 from ..operators.anomaly import SIGMAS, WINDOW_HISTORY
+from ..operators.dedup import DEDUP_TTL
+
+LATENESS = "24 hours"
+IDLE = 90 * DAY  # as long as windows are kept
+TIME = "_event_time"
+SHIFT = 100 * 365 * DAY  # a stream's watermark begins at 1970, and what is not after it is late: times count from a century earlier
 
 SCORED = "tenant_id string, event_type string, window_start bigint, count bigint, z_score double, is_anomaly boolean"
 
 
-class HistoryScorer(StatefulProcessor):
-    """Keeps the last counts of a (tenant, type) and scores each new one against them."""
+def _stateful(rows: DataFrame, keys: list[str], ts: str, lateness: str, processor: StatefulProcessor, out: StructType | str) -> DataFrame:
+    timed = rows.withColumn(TIME, to_ts(F.col(ts) + SHIFT)).withWatermark(TIME, lateness)
+    return timed.groupBy(*keys).transformWithStateInPandas(processor, outputStructType=out, outputMode="append", timeMode="EventTime")
 
-    def __init__(self, history: int, min_history: int, sigmas: float):
-        self.history, self.min_history, self.sigmas = history, min_history, sigmas
+
+class Expiring(StatefulProcessor):
+    """Keeps one value per key until the watermark passes the time that goes with it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.past = handle.getValueState("past", "counts array<bigint>")
+        self.handle = handle
+        self.state = handle.getValueState("state", self.layout)
+
+    def keep(self, value: tuple, until: int) -> None:
+        """`until` is the last field of the value, so a timer can tell whether it is still the one that counts."""
+        self.state.update((*value, until))
+        self.handle.registerTimer(until + SHIFT)
+
+    def kept(self) -> tuple | None:
+        return tuple(self.state.get()) if self.state.exists() else None
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.kept()
+        if known is not None and known[-1] + SHIFT <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class DuplicateGate(Expiring):
+    """Lets an arrival through if no accepted one of its key is less than a period before or after it."""
+
+    layout = "taken array<bigint>, until bigint"
+
+    def __init__(self, ts: str, seq: str, ttl_ms: int, columns: list[str]):
+        self.ts, self.seq, self.ttl_ms, self.columns = ts, seq, ttl_ms, columns
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values([self.ts, self.seq], ignore_index=True)
+        known = self.kept()
+        before = list(known[0]) if known else []
+        keep, own, last = [], [], None
+        for i, at in enumerate(frame[self.ts].tolist()):
+            if (last is None or at - last >= self.ttl_ms) and all(abs(at - b) >= self.ttl_ms for b in before):
+                keep.append(i)
+                own.append(at)
+                last = at
+        if own:
+            # what can still block a row that is not behind the watermark
+            oldest = timerValues.getCurrentWatermarkInMs() - SHIFT - self.ttl_ms
+            taken = sorted(t for t in before + own if t > oldest)
+            if taken:
+                self.keep((taken,), taken[-1] + self.ttl_ms)
+        yield frame.loc[keep, self.columns]
+
+
+def drop_duplicates_exact(events: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = LATENESS) -> DataFrame:
+    """Accepted arrivals of a stream: a key is free again `ttl_ms` after (and before) its accepted ones; copies do not extend that.
+
+    A key's state is the few accepted times that lie less than a period behind the watermark; it goes when the watermark
+    has passed the last of them by a period. A task holds the rows of one key of one micro-batch.
+    """
+    gate = DuplicateGate(ts, seq, ttl_ms, events.columns)
+    return _stateful(events, keys, ts, lateness, gate, events.schema)
+
+
+class HistoryScorer(Expiring):
+    """Keeps the last counts of a (tenant, type) and scores each new one against them."""
+
+    layout = "counts array<bigint>, until bigint"
+
+    def __init__(self, history: int, min_history: int, sigmas: float, idle_ms: int = IDLE):
+        self.history, self.min_history, self.sigmas, self.idle_ms = history, min_history, sigmas, idle_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        past = list(self.past.get()[0]) if self.past.exists() else []
+        known = self.kept()
+        past = list(known[0]) if known else []
         frame = pd.concat(list(rows)).sort_values("window_start", ignore_index=True)
         scores: list[float] = []
         for x in frame["count"].tolist():
             scores.append(self._score(past, x))
             past = (past + [x])[-self.history :]
-        self.past.update((past,))
+        newest = int(frame["window_start"].iloc[-1])
+        self.keep((past,), max(newest + self.idle_ms, known[-1] if known else 0))
         frame["z_score"] = scores
         frame["is_anomaly"] = frame["z_score"] > self.sigmas
         yield frame[["tenant_id", "event_type", "window_start", "count", "z_score", "is_anomaly"]]
@@ -47,55 +125,45 @@ class HistoryScorer(StatefulProcessor):
             return 0.0
         return abs(n * x - total) / math.sqrt(spread)
 
-    def close(self) -> None:
-        pass
-
 
 def score_windows(
-    windows: DataFrame, history: int = WINDOW_HISTORY, min_history: int = 10, sigmas: float = SIGMAS
+    windows: DataFrame, history: int = WINDOW_HISTORY, min_history: int = 10, sigmas: float = SIGMAS, lateness: str = LATENESS, idle_ms: int = IDLE
 ) -> DataFrame:
     """Z-scores of a stream of closed windows (tenant_id, event_type, window_start, count).
 
     With history=10 this is the short ring of the running check. Windows of a key must arrive in
-    time order between micro-batches, which closed windows do.
+    time order between micro-batches, which closed windows do. A key without windows for `idle_ms` starts anew.
     """
-    return (
-        windows.select("tenant_id", "event_type", "window_start", "count")
-        .groupBy("tenant_id", "event_type")
-        .transformWithStateInPandas(
-            HistoryScorer(history, min_history, sigmas), outputStructType=SCORED, outputMode="append", timeMode="none"
-        )
-    )
+    slim = windows.select("tenant_id", "event_type", "window_start", "count")
+    return _stateful(slim, ["tenant_id", "event_type"], "window_start", lateness, HistoryScorer(history, min_history, sigmas, idle_ms), SCORED)
 
 
-class CooldownGate(StatefulProcessor):
+class CooldownGate(Expiring):
     """Remembers when a rule last fired and lets a candidate through once the pause is over."""
 
-    def __init__(self, cooldown_ms: int):
-        self.cooldown_ms = cooldown_ms
+    layout = "last_fired bigint, until bigint"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_fired", "at bigint")
+    def __init__(self, cooldown_ms: int, columns: list[str]):
+        self.cooldown_ms, self.columns = cooldown_ms, columns
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
+        known = self.kept()
+        before = last = known[0] if known else None
         frame = pd.concat(list(rows)).sort_values(["fired_at", "tenant_id"], ignore_index=True)
         keep = []
-        for at in frame["fired_at"]:
+        for at in frame["fired_at"].tolist():
             fires = last is None or at - last >= self.cooldown_ms
-            last = int(at) if fires else last
+            last = at if fires else last
             keep.append(fires)
-        if last is not None:
-            self.last.update((last,))
-        yield frame[keep]
+        if last != before:
+            self.keep((last,), last + self.cooldown_ms)
+        yield frame.loc[keep, self.columns]
 
-    def close(self) -> None:
-        pass
 
+def apply_cooldown(candidates: DataFrame, cooldown_ms: int = COOLDOWN, per_tenant: bool = False, lateness: str = LATENESS) -> DataFrame:
+    """Candidates of a stream that fire; time is event time.
 
-def apply_cooldown(candidates: DataFrame, cooldown_ms: int = COOLDOWN, per_tenant: bool = False) -> DataFrame:
-    """Candidates of a stream that fire; time is event time."""
+    A rule's state goes once the watermark has passed the end of its cooldown: any later candidate fires without it.
+    """
     keys = ["rule_id", "tenant_id"] if per_tenant else ["rule_id"]
-    return candidates.groupBy(*keys).transformWithStateInPandas(
-        CooldownGate(cooldown_ms), outputStructType=candidates.schema, outputMode="append", timeMode="none"
-    )
+    return _stateful(candidates, keys, "fired_at", lateness, CooldownGate(cooldown_ms, candidates.columns), candidates.schema)

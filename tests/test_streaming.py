@@ -187,3 +187,45 @@ def test_routing_before_write_keeps_rows(spark):
     assert routed.count() == 3
     per = routed.select("tenant_id", F.spark_partition_id().alias("p")).distinct()
     assert per.count() == 2
+
+
+def states(spark, checkpoint):
+    return spark.read.format("statestore").option("stateVarName", "state").load(checkpoint)
+
+
+def test_exact_dedup_over_restarts_keeps_only_live_keys(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "d", "id string, timestamp bigint, seq bigint")
+    jobs.use_rocksdb(spark)
+    out, hour, rng = str(tmp_path / "o"), 3_600_000, random.Random(3)
+    rows = sorted((rng.randrange(96 * hour), f"k{rng.randrange(40)}") for _ in range(600))
+    rows = [(k, t, i) for i, (t, k) in enumerate(rows)]
+    for part in range(4):  # each run is a restart
+        mine = rows[part * 150 : part * 150 + 150]
+        rng.shuffle(mine)
+        feed.add(mine)
+        jobs.run_available(jobs.start_exact_dedup(feed.stream(), ["id"], out, f"{out}/cp"))
+    last, want = {}, set()
+    for k, t, i in rows:
+        if k not in last or t - last[k] >= 24 * hour:
+            last[k] = t
+            want.add(i)
+    assert {r["seq"] for r in spark.read.parquet(f"{out}/accepted").collect()} == want
+    assert 30 < states(spark, f"{out}/cp").count() <= 40
+    for t in (300 * hour, 301 * hour):  # the watermark of a micro-batch is what the one before has seen
+        feed.add([("new", t, t)])
+        jobs.run_available(jobs.start_exact_dedup(feed.stream(), ["id"], out, f"{out}/cp"))
+    assert {r["key"]["id"] for r in states(spark, f"{out}/cp").select("key").collect()} == {"new"}
+
+
+def test_cooldown_state_ends(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "c", "rule_id string, tenant_id string, fired_at bigint")
+    jobs.use_rocksdb(spark)
+    out = str(tmp_path / "f")
+    for rows in ([("a", "t", 0), ("b", "t", 1)], [("c", "t", 10**9)], [("d", "t", 10**9 + 1)]):
+        feed.add(rows)
+        jobs.run_available(
+            stateful.apply_cooldown(feed.stream()).writeStream.outputMode("append")
+            .option("checkpointLocation", f"{out}/cp").foreachBatch(jobs.per_batch_writer(f"{out}/data"))
+        )
+    assert spark.read.parquet(f"{out}/data").count() == 4
+    assert {r["key"]["rule_id"] for r in states(spark, f"{out}/cp").select("key").collect()} == {"c", "d"}
