@@ -17,23 +17,29 @@ from pulsegrid.llm.urls import url_host
 GROUP = 48  # pages of a host that a template is deduced from together, about
 LEAST_PAGES = 3  # fewer pages give no occurrence vectors worth trusting
 
+# An attribute's value may be quoted, or hold quotes anywhere but at its start; loops give nothing back, so no page is slow.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|math|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|title|textarea|select|svg|iframe|object|annotation)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mspace semantics".split())
 # Elements, and words of class, id and role, that mark what is not the article.
-_OTHER_ELEMENTS = set("nav header footer aside form button menu dialog fieldset".split())
+_OTHER_ELEMENTS = set("nav header footer aside form button menu dialog fieldset template".split())
 _OTHER_WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies copyright"
     " disqus footer header login menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply"
     " respond share sharing sidebar signup skip social sponsor sponsored subscribe tags toc toolbar topbar widget consent gdpr search".split()
 )
 _MAIN_WORDS = set("article main content post entry story body text".split())
+# Words that say nothing of their own beside these: a "share-buttons" is other, "related-work" or "search-results" are not.
+_CARRIERS = set(
+    "area bar block bottom box btn button buttons col column container content footer form global holder icons inner item items left link links list"
+    " outer page panel primary right row secondary section site slot strip text top unit wrap wrapper".split()
+)
 _SPACE = re.compile(r"\s+")
 # Elements that end an open one of their kind without its closing tag, and what that search stops at.
 _SIBLINGS = {n: set(names.split()) for names in ("li", "dt dd", "tr", "td th", "option") for n in names.split()}
@@ -69,9 +75,10 @@ def tokens_of(page: str) -> list[Token]:
             out.append(Token("close", name, f"/{name}"))
             continue
         marks = " ".join(f"{k.lower()}={v.strip(chr(34) + chr(39))}" for k, v in _NAMED.findall(m[4]))
-        words = set(re.findall(r"[a-z]+", re.sub(r"\b(class|id|role)=", " ", marks).lower()))
+        names = [set(re.findall(r"[a-z]+", w)) for w in re.sub(r"\b(class|id|role)=", " ", marks).lower().split()]
+        words = set().union(*names)
         # a page's outer elements may carry such words (class="has-sidebar") without being one
-        other = name in _OTHER_ELEMENTS or (name not in ("html", "body", "main", "article") and bool(words & _OTHER_WORDS)) or bool(m[4] and _HIDDEN.search(m[4]))
+        other = name in _OTHER_ELEMENTS or (name not in ("html", "body", "main", "article") and any(n & _OTHER_WORDS and n <= _OTHER_WORDS | _CARRIERS for n in names)) or bool(m[4] and _HIDDEN.search(m[4]))
         main = name in ("article", "main") or (name in ("div", "section", "td") and bool(words & _MAIN_WORDS) and not other)
         out.append(Token("open", name, f"{name} {re.sub(r'[0-9]+', '0', marks)}", 0, "", other, main))
         if m[4].rstrip().endswith("/") and name not in _VOID and name not in _INLINE and name != "p":
@@ -213,11 +220,13 @@ def extract(page: list[Token], template: set[int], constant: Constant) -> str:
     """Text of the slots that are left when the template and what is not the article are taken away.
 
     Where a page marks an article, only slots inside it count, and the template decides among these as it does
-    elsewhere. Only if it would take more than half of the marked text are pages near copies of each other, and the mark wins.
+    elsewhere. A mark by a class word only counts if most of the text lies in it. Only if it would take more than half of the marked text are pages near copies of each other, and the mark wins.
     """
     slots = slots_of(page, template)
     marked = "article" if any(t.main and t.name == "article" for t in page) else "main" if any(t.main for t in page) else ""
     fixed = constant.fixed(slots)
+    if marked == "main" and not any(t.name == "main" for t in page) and 2 * len(_extract(slots, marked, fixed)) < len(_extract(slots, "", fixed)):
+        marked = ""
     text = _extract(slots, marked, fixed)
     if marked and fixed and 2 * len(text) < len(whole := _extract(slots, marked, set())):
         return whole

@@ -142,11 +142,34 @@ def test_pages(spark, prose):
     assert pages.extract_pages(df.limit(0)).count() == 0
 
 
-def test_template_is_the_order_that_pages_share(prose):
+def test_template_holds_the_tags_that_pages_share(prose):
     parsed = [pages.tokens_of(PAGE.format(n=i, main=f"<article><p>{prose(5, i)}</p></article>")) for i in range(5)]
     template = pages.template_of(parsed)
-    assert template.index("nav ") < template.index("article ") < template.index("/article") < template.index("footer ")
-    assert "div class=ad" in template and "aside class=sidebar" in template
+    for page in parsed:
+        labels = [t.label for t in page if t.role in template]
+        assert labels.index("nav ") < labels.index("article ") < labels.index("/article") < labels.index("footer ")
+        assert "div class=ad" in labels and "aside class=sidebar" in labels
+
+
+def one_page(html):
+    return pages.extract_group([html])[0]
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head><title>T</title><meta charset=x><body><p>all of it</p>", "all of it"),
+        ("<p>it <a title=it's href=x>link</a> then more</p><p>next</p>", "it link then more\n\nnext"),
+        ("<div class=\"text-muted\">tiny</div><div><p>The whole long article is here.</p></div>", "tiny\n\nThe whole long article is here."),
+        ("<article><div class=related-work><p>kept</p></div><div class='search-results'>kept too</div><div class='share-buttons'>gone</div></article>", "kept\n\nkept too"),
+        ("<article><p>x is <math><mi>y</mi></math> and</p></article>", "x is y and"),
+        ("<p>a</p><template>b<template>c</template>d</template><p>e</p>", "a\n\ne"),
+        ("<div class=content><p>short</p></div><div><p>much longer text that no class marks at all</p></div>", "short\n\nmuch longer text that no class marks at all"),
+        ("<p" + " a=b" * 20000 + " <p>unclosed tag</p>", "unclosed tag"),
+    ],
+)
+def test_pages_lose_no_text(html, text):
+    assert one_page(html) == text
 
 
 def test_other_queries_have_rows(spark):
