@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timing import HOUR, MINUTE, floor_ms, to_ts
+from ..sources.files import Folder
 
 VIEW_KEYS = ["tenant_id", "event_type", "window_start"]
 
@@ -91,3 +92,63 @@ def compact_months(spark: SparkSession, source: str, target: str, merge, months:
         .partitionBy("month")
         .parquet(target)
     )
+
+
+def _compacted(spark: SparkSession, target: str) -> tuple[int | None, str | None]:
+    """The last batch in the compacted part, and the folder that holds it: the newest version that was written to its end."""
+    table = Folder(spark, target)
+    done = [v for v in table.folders() if v.startswith("upto=") and table.has(f"{v}/_SUCCESS")]
+    newest = max(done, key=lambda v: int(v.removeprefix("upto=")), default=None)
+    return (int(newest.removeprefix("upto=")), f"{target}/{newest}") if newest else (None, None)
+
+
+def _batches(spark: SparkSession, source: str) -> list[int]:
+    return sorted(int(b.removeprefix("batch_id=")) for b in Folder(spark, source).folders() if b.startswith("batch_id="))
+
+
+def _rows(spark: SparkSession, source: str, target: str, newest: int | None = None) -> DataFrame:
+    upto, folder = _compacted(spark, target)
+    if upto is not None and all(b <= upto for b in _batches(spark, source)):
+        return spark.read.parquet(folder)
+    raw = spark.read.parquet(source)
+    if newest is not None:
+        raw = raw.where(F.col("batch_id") <= newest)
+    if upto is None:
+        return raw.drop("batch_id")
+    return spark.read.parquet(folder).unionByName(raw.where(F.col("batch_id") > upto).drop("batch_id"))
+
+
+def read_view(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Partial rows of a view that a stream writes: the compacted part up to its last batch, and the raw batches beyond."""
+    return _rows(spark, source, target)
+
+
+def compact_batches(spark: SparkSession, source: str, target: str, merge) -> int | None:
+    """Merges the compacted part and all raw batches beyond it into a new version; returns the last batch in it.
+
+    `merge` collapses partial rows and keeps their columns. A version is named by its last batch and counts once Spark
+    has marked it complete, so a run that fails before that changes nothing for readers, and running it again mends
+    it. Its mark is the newest batch that another one follows: a stream begins a batch only when the one before is
+    committed, so the batch that may still be written again, and all that arrive meanwhile, stay raw.
+    """
+    upto, _ = _compacted(spark, target)
+    newest = max(_batches(spark, source)[:-1], default=None)
+    if newest is None or upto is not None and newest <= upto:
+        return upto
+    merge(_rows(spark, source, target, newest)).write.mode("overwrite").parquet(f"{target}/upto={newest}")
+    return newest
+
+
+def drop_compacted(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Removes raw batches and older versions that the newest version holds; returns their names. Readers must have moved on."""
+    upto, folder = _compacted(spark, target)
+    if upto is None:
+        return []
+    raw, versions = Folder(spark, source), Folder(spark, target)
+    old = [b for b in raw.folders() if b.startswith("batch_id=") and int(b.removeprefix("batch_id=")) <= upto]
+    older = [v for v in versions.folders() if v.startswith("upto=") and f"{target}/{v}" != folder]
+    for b in old:
+        raw.remove(b)
+    for v in older:
+        versions.remove(v)
+    return old + older

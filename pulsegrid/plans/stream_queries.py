@@ -15,6 +15,7 @@ from ..schemas import WINDOW_METRICS
 from ..session import shared_dir, use_utc
 from ..sources.canonical import as_events, load_events
 from ..streaming import jobs, stateful
+from ..streaming.chain import read_chain
 from ..streaming.sources import read_files
 from . import ingest_queries  # noqa: F401  (registers dedup_24h)
 from .fixtures import candidates, dirty, tidy
@@ -191,3 +192,41 @@ def stream_hot_windows(spark, sf_dir):
     return jobs.hot_windows(stream_window_metrics(spark, sf_dir))
 
 
+@query("stream_ingest_chain", check_sql(f"""
+    , v AS (SELECT seq, CASE WHEN seq % 50 = 4 THEN timestamp + (seq % 20) * 60000 ELSE timestamp END AS ts,
+                   seq % 50 = 4 OR (seq % 20) * 60000 <= 300000 AS on_time FROM canon WHERE seq % 50 > 2),
+    w AS (SELECT ts - ts % 3600000 + 3600000 AS window_end, count(*) AS n FROM v WHERE on_time GROUP BY ALL)
+    SELECT 'events' AS target, '' AS error, count(*) AS rows FROM v
+    UNION ALL SELECT 'dlq', ['tenant_id is required', 'invalid event', 'invalid JSON'][seq % 50 + 1], count(*)
+              FROM canon WHERE seq % 50 < 3 GROUP BY ALL
+    UNION ALL SELECT 'windows', '', sum(n)::BIGINT FROM w WHERE window_end <= (SELECT max(ts) FROM v WHERE on_time) - 300000"""))
+def stream_ingest_chain(spark, sf_dir):
+    """Messages in five files, some sent twice, through the chained streams: rows stored, refused and counted in closed hours."""
+    use_utc(spark)
+    out = shared_dir(spark, "stream-chain")
+    write_messages(load_events(spark, sf_dir), f"{out}/messages")
+    chain = read_chain(spark, f"{out}/messages", spark.read.parquet(f"{out}/messages").schema, out)
+    chain.run_available({"tumbling_1h": HOUR})
+    tables = {
+        "events": chain.read("events").select(F.lit("").alias("error"), F.lit(1).alias("n")),
+        "dlq": chain.read("dlq").select("error", F.lit(1).alias("n")),
+        "windows": chain.read("windows").select(F.lit("").alias("error"), F.col("count").alias("n")),
+    }
+    parts = [df.groupBy("error").agg(F.sum("n").alias("rows")).select(F.lit(name).alias("target"), "error", "rows") for name, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def write_messages(events, path, files=5):
+    """The events as JSON messages with their arrival, every tenth sent again half an hour later, in files by arrival."""
+    received = F.col("timestamp") + F.pmod("seq", F.lit(20)) * 60000
+    rows = dirty(events.withColumn("received_at", received))
+    text = F.to_json(F.struct("id", "tenant_id", "user_id", "event_type", "source", "timestamp"))
+    payload = F.when(F.pmod("seq", F.lit(50)) == 2, F.lit("[1]")).otherwise(F.coalesce("payload", F.lit("null")))
+    message = F.concat(F.expr("substring(_t, 1, length(_t) - 1)"), F.lit(',"payload":'), payload, F.lit("}"))
+    sent = rows.withColumn("_t", text).select("seq", "received_at", message.alias("value"))
+    again = sent.where("pmod(seq, 10) = 5").withColumn("received_at", F.col("received_at") + 1_800_000)
+    sent = sent.unionByName(again).select("received_at", "value")
+    lo, hi = sent.select(F.min("received_at"), F.max("received_at") + 1).first()
+    cuts = [lo + (hi - lo) * i // files for i in range(files + 1)]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        sent.where((F.col("received_at") >= start) & (F.col("received_at") < end)).coalesce(1).write.mode("append").parquet(path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import UTC, date, datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timing import DAY, between_ms, event_date, with_calendar
 from ..schemas import EVENT_COLUMNS
+from .files import Folder
 
 RETENTION_DAYS = 90
 LOG_RETENTION_DAYS = 7
@@ -36,7 +39,8 @@ def write_raw_events(
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A raw table; files that a retention run removes meanwhile are no error."""
+    return spark.read.option("ignoreMissingFiles", "true").parquet(path)
 
 
 def retain(df: DataFrame, as_of_ms: int | Column, days: int = RETENTION_DAYS) -> DataFrame:
@@ -53,8 +57,39 @@ def expired_partitions(df: DataFrame, as_of_ms: int | Column, days: int = RETENT
     return gone.groupBy("tenant_id", "event_date").agg(F.count("*").alias("rows"))
 
 
+def drop_expired(spark: SparkSession, path: str, as_of_ms: int, days: int = RETENTION_DAYS, dry_run: bool = False) -> list[str]:
+    """Removes the day folders of a raw table (tenant_id=.../event_date=...) whose day plus `days` has passed; returns their names.
+
+    Whole partitions go, nothing is read or rewritten, and a second run finds nothing left. A tenant without any day left
+    goes too. `dry_run` only names them. Readers that hold an older listing are served by `read_raw_events`, which does
+    not mind missing files.
+    """
+    table = Folder(spark, path)
+    oldest = (datetime.fromtimestamp(as_of_ms / 1000, UTC) - timedelta(days=days)).date()
+    gone = []
+    for tenant in table.folders():
+        if not tenant.startswith("tenant_id="):
+            continue
+        days_of = [d for d in table.folders(tenant) if d.startswith("event_date=")]
+        old = [d for d in days_of if _day(d) is not None and _day(d) < oldest]
+        gone += [f"{tenant}/{d}" for d in old]
+        if not dry_run:
+            for d in old:
+                table.remove(f"{tenant}/{d}")
+            if days_of and not table.folders(tenant):
+                table.remove(tenant)
+    return gone
+
+
+def _day(folder: str) -> date | None:
+    try:
+        return date.fromisoformat(folder.removeprefix("event_date="))
+    except ValueError:  # the folder of null days
+        return None
+
+
 def to_dead_letters(
-    failed: DataFrame, error: str, failed_at: int | str | Column, attempts: int = MAX_ATTEMPTS
+    failed: DataFrame, error: str, failed_at: int | str | Column, attempts: int | Column = MAX_ATTEMPTS
 ) -> DataFrame:
     """Envelope of an event that failed its last attempt.
 
@@ -71,7 +106,7 @@ def to_dead_letters(
         *text,
         reason.alias("error"),
         when.alias("failed_at"),
-        F.lit(attempts).alias("attempts"),
+        (attempts if isinstance(attempts, Column) else F.lit(attempts)).alias("attempts"),
     )
 
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from ..functions.timing import DAY, to_ts
 from ..operators.alerts import COOLDOWN
@@ -91,8 +91,11 @@ def drop_duplicates_exact(events: DataFrame, keys: list[str], ts: str = "timesta
     A key's state is the few accepted times that lie less than a period behind the watermark; it goes when the watermark
     has passed the last of them by a period. A task holds the rows of one key of one micro-batch.
     """
-    gate = DuplicateGate(ts, seq, ttl_ms, events.columns)
-    return _stateful(events, keys, ts, lateness, gate, events.schema)
+    # Maps travel as JSON text: a Python worker would give them back as lists of pairs.
+    maps = {f.name: f.dataType for f in events.schema if isinstance(f.dataType, MapType)}
+    slim = events.withColumns({c: F.to_json(c) for c in maps})
+    accepted = _stateful(slim, keys, ts, lateness, DuplicateGate(ts, seq, ttl_ms, slim.columns), slim.schema)
+    return accepted.withColumns({c: F.from_json(c, kind) for c, kind in maps.items()})
 
 
 class HistoryScorer(Expiring):
