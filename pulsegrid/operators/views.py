@@ -77,12 +77,15 @@ def append_partials(partials: DataFrame, path: str, time_column: str = "window_s
 def compact_months(spark: SparkSession, source: str, target: str, merge, months: list[str] | None = None) -> None:
     """Rewrite months of a view table into `target`, replacing just those partitions there.
 
-    Source and target differ because a job must not overwrite files it is still reading.
+    Source and target differ because a job must not overwrite files it is still reading. The tables of streams, which
+    are partitioned by batch, can be a source too; their months come from the rows.
     """
-    rows = spark.read.parquet(source)
+    rows = spark.read.parquet(source).drop("batch_id")
+    time_column = "window_start" if "window_start" in rows.columns else "hour"
+    if "month" not in rows.columns:
+        rows = rows.withColumn("month", _month(time_column))
     if months:
         rows = rows.where(F.col("month").isin(months))
-    time_column = "window_start" if "window_start" in rows.columns else "hour"
     (
         merge(rows.drop("month"))
         .withColumn("month", _month(time_column))

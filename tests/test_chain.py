@@ -138,6 +138,18 @@ def test_view_totals_do_not_change_with_compaction(spark, tmp_path):
     assert views.compact_batches(spark, source, target, views.compact_minute_partials) == 6 and total() == want(8)
 
 
+def test_months_of_a_stream_table(spark, tmp_path):
+    source, target = str(tmp_path / "r"), str(tmp_path / "months")
+    rows = spark.range(90).selectExpr("'t' AS tenant_id", "1704067200000 + id * 86400000 AS hour", "1.0D AS revenue", "id % 3 AS b")
+    write = jobs.per_batch_writer(source)
+    for b in range(3):
+        write(rows.where(F.col("b") == b).drop("b"), b)
+    views.compact_months(spark, source, target, views.merge_revenue, ["202402"])
+    assert spark.read.parquet(target).agg(F.sum("revenue")).first()[0] == 29.0
+    views.compact_months(spark, source, target, views.merge_revenue)
+    assert spark.read.parquet(target).agg(F.sum("revenue")).first()[0] == 90.0
+
+
 def test_all_progress_is_kept(spark, tmp_path):
     source, n = str(tmp_path / "in"), 150
     spark.range(n).repartition(n).write.parquet(source)
