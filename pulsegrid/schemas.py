@@ -17,6 +17,15 @@ EVENT_JSON = T.StructType(
     ]
 )
 
+# The text fields of it; `EVENT_TYPED` leaves their JSON types visible.
+EVENT_TEXTS = ["id", "tenant_id", "user_id", "event_type", "source"]
+EVENT_TYPED = T.StructType(
+    [
+        *[T.StructField(name, T.VariantType()) for name in EVENT_TEXTS],
+        T.StructField("labels", T.MapType(T.StringType(), T.VariantType())),
+    ]
+)
+
 # A stored event.
 EVENT = T.StructType(
     [

@@ -94,6 +94,31 @@ def test_undecodable(spark, text):
     assert row["decode_error"] == BAD_JSON and row["raw"] == text
 
 
+@pytest.mark.parametrize(
+    "text",
+    ['{"id":1}', '{"user_id":true}', '{"source":{"a":"b"}}', '{"event_type":["click"]}', '{"labels":{"a":1}}', '{"labels":{"a":"x","b":{}}}',
+     '{"timestamp":1.5}', '{"payload":{"value":1e999}}', '{"value":-1e999}', '{"payload":{"a":[{"b":12e400}]}}', '{"id":"a","payload":{"v":' + "9" * 400 + "}}"],
+)
+def test_types_are_not_coerced(spark, text):
+    row = decode(spark, text)
+    assert row["decode_error"] == BAD_JSON and row["raw"] == text
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"id":"1","source":null,"labels":null}', '{"labels":{}}', '{"payload":{"note":"1e999 is \\"large\\" 9e999"}}', '{"payload":{"v":1e300,"w":1e-999}}',
+     '{"payload":{"note":"Infinity"}}', '{"unknown":7}', "{}"],
+)
+def test_odd_but_decodable(spark, text):
+    assert decode(spark, text)["decode_error"] is None
+
+
+def test_batch_with_one_wrong_type(spark):
+    text = '{"events":[{"id":"1"},{"id":"2","labels":{"a":3}}]}'
+    rows = decode_batches(spark.createDataFrame([(1, text)], "batch bigint, value string"), "batch").collect()
+    assert [(r["pos"], r["decode_error"]) for r in rows] == [(None, BAD_JSON)]
+
+
 def test_decoded_fields(spark):
     row = decode(spark, json.dumps({"id": "1", "tenant_id": "t", "event_type": "e", "timestamp": 7,
                                     "payload": {"value": 2.5, "tag": "12"}, "labels": {"k": "v"}}))
