@@ -11,6 +11,7 @@ from ..functions.timing import HOUR, MINUTE, RULE_WINDOWS, TUMBLING, col
 from ..schemas import ALERT_RULE, FIRED_ALERT
 from .chains import mark_chain
 from .sessions import number_by_gap
+from .windows import counts_by_length, window_metrics
 
 COOLDOWN = 5 * MINUTE
 HISTORY_CAP = 1000
@@ -118,6 +119,20 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def rule_candidates(events: DataFrame, rules: DataFrame) -> DataFrame:
+    """Candidate alerts of all rules from events: exact percentiles only where a rule asks for them.
+
+    Count and rate rules need counts per window, which combine on the map side; only events of types with
+    a percentile rule go through `window_metrics`. Equal to `evaluate_rules` over the metrics of all windows.
+    """
+    by_percentile = rules.where(F.col("metric") == "p99_latency")
+    by_count = rules.where(F.col("metric").isin("count", "rate"))
+    counts = counts_by_length(watched_events(events, by_count)).withColumn("p99", F.lit(None).cast("double"))
+    return evaluate_rules(counts, by_count).unionByName(
+        evaluate_rules(window_metrics(watched_events(events, by_percentile)), by_percentile)
+    )
+
+
 def fire(
     candidates: DataFrame, cooldown_ms: int = COOLDOWN, per_tenant: bool = False, notify: bool = True
 ) -> DataFrame:

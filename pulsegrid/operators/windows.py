@@ -179,6 +179,26 @@ def window_counts(
     )
 
 
+def counts_by_length(
+    events: DataFrame, durations: dict[str, int] = TUMBLING, keys: list[str] = KEYS, ts: str = "timestamp"
+) -> DataFrame:
+    """Event counts of all window lengths: what `window_metrics` counts, without values.
+
+    Events are counted once, per shortest window; these counts are copied into the longer ones.
+    """
+    base = min(durations.values())
+    if any(ms % base for ms in durations.values()):
+        raise ValueError("window lengths must be multiples of the shortest")
+    slim = countable(events.withColumn("_one", F.lit(1.0)), keys, ts, "_one", None)
+    cells = slim.groupBy(*keys, floor_ms(ts, base).alias("_base")).agg(F.count("*").alias("_n"))
+    return (
+        explode_windows(cells, durations, "_base")
+        .groupBy(*keys, "window_type", "window_start")
+        .agg(F.sum("_n").alias("count"))
+        .selectExpr(*keys, "window_type", "window_start", f"window_start + {_length(durations)} AS window_end", "count")
+    )
+
+
 def fill_empty(counts: DataFrame, duration_ms: int, keys: list[str] = KEYS, until: Column | None = None) -> DataFrame:
     """Add the windows with zero events between a key's first and last window (or `until`).
 

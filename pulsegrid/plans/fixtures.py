@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timing import HOUR, floor_ms
-from ..operators.alerts import evaluate_rules, fire, rules_frame, watched_events
+from ..operators.alerts import fire, rule_candidates, rules_frame
 from ..operators.ingest import apply_defaults, ingest_status, resolve_tenant, validate
 from ..operators.routing import shard_of
 from ..operators.windows import window_metrics
@@ -75,8 +75,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = rules_frame(spark, RULES)
-    return evaluate_rules(window_metrics(watched_events(load_events(spark, sf_dir), rules)), rules)
+    return rule_candidates(load_events(spark, sf_dir), rules_frame(spark, RULES))
 
 
 def fired(spark: SparkSession, sf_dir: str) -> DataFrame:

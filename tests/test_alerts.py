@@ -1,10 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.texts import fixed, severity_color
 from pulsegrid.operators import alerts
+from pulsegrid.operators.windows import window_metrics
 from pulsegrid.schemas import FIRED_ALERT, WINDOW_METRICS
 
 
@@ -53,6 +55,29 @@ def test_metrics_of_rules(spark):
     assert {r["rule_id"]: r["current_value"] for r in got} == {"r": 2.0, "p": 50.0, "mine": 120.0}
 
 
+def test_candidates_from_events_equal_those_from_all_metrics(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice(["error", "click", "view", None]), rng.randrange(0, 7_200_000) if rng.random() < 0.98 else None,
+             rng.choice([None, float("nan"), rng.uniform(0, 50)])) for _ in range(4000)]
+    events = spark.createDataFrame(rows, "tenant_id string, event_type string, timestamp long, value double")
+    asked = [{"event_type": e, "metric": m, "window": w, "threshold": t, "tenant_id": tenant, "enabled": on}
+             for e, m, w, t, tenant, on in [("error", "count", "1m", 3.0, "*", True), ("error", "p99_latency", "5m", 49.0, "*", True),
+                                            ("click", "rate", "1h", 0.01, "a", True), ("click", "count", "5m", 1.0, "b", False),
+                                            ("view", "p99_latency", "1h", 1.0, "a", True), ("view", "median", "1m", 0.0, "*", True)]]
+    rules = alerts.rules_frame(spark, [{"id": f"r{i}", **r} for i, r in enumerate(asked)])
+    whole = alerts.evaluate_rules(window_metrics(alerts.watched_events(events, rules)), rules)
+    got = alerts.rule_candidates(events, rules)
+    assert got.columns == whole.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    assert {r["rule_id"] for r in got.collect()} == {"r0", "r1", "r2", "r4"}
+
+
+def test_candidates_without_percentile_rules(spark):
+    events = spark.createDataFrame([("a", "error", 5, 1.0)] * 3, "tenant_id string, event_type string, timestamp long, value double")
+    got = alerts.rule_candidates(events, alerts.rules_frame(spark, [{"threshold": 2.0}])).collect()
+    assert [(r["rule_id"], r["current_value"], r["fired_at"]) for r in got] == [("rule-default-error", 3.0, 60_000)]
+
+
 def candidates(spark, times, rule="r", tenant="t"):
     rows = [(rule, "*", "High", tenant, "error", "tumbling_1m", "count", "gt", 100.0, "critical", 150.0, t) for t in times]
     names = ("rule_id rule_tenant rule_name tenant_id event_type window_type metric operator threshold severity "
