@@ -11,7 +11,9 @@ of all rows, so it is found by narrowing instead of by gathering the values:
    events (or of one value) are finished: the percentile is their maximum.
 3. For the larger ones, running counts over their bands find the band with the wanted rank. If the
    rank is the lowest or highest of the band, or the band has one value, they are finished too.
-4. For the rest, only events of the wanted bands are read back and ranked inside the band.
+4. For the rest, only events of the wanted bands are read back and counted by value. The band is cut into
+   equal parts between its lowest and highest value, running counts find the part, and only the values of
+   that part are ranked, so a hot window is not ranked by one task.
 
 Steps 2 and 3 read the same exchange of cells; a stage without any window is skipped at run time.
 """
@@ -25,6 +27,7 @@ from ..functions.timing import MINUTE, SECOND, TUMBLING, floor_ms
 
 KEYS = ["tenant_id", "event_type"]
 BANDS_PER_E = 32
+PARTS_PER_BAND = 4096
 PERCENT = 99
 
 
@@ -101,7 +104,7 @@ def _rank_in_band(
     most, set by the window lengths), so each event is shuffled once, not once per length.
     """
     longest = max(durations.values())
-    fields = "window_type, window_start, count, sum, _band, _rank"
+    fields = "window_type, window_start, count, sum, _band, _rank, _lo, _hi"
     targets = open_.groupBy(*keys, floor_ms("window_start", longest).alias("_parent")).agg(
         F.expr(f"collect_list(struct({fields}, window_start + {_length(durations)} AS _end)) AS _open")
     )
@@ -112,18 +115,38 @@ def _rank_in_band(
         events.select("*", floor_ms(ts, longest).alias("_parent"), value_band(value, bands).alias("_eband"))
         .join(targets, [*keys, "_parent"])
         .selectExpr(*carried, f"inline({inside})")
-        .groupBy(*group, "_rank", value)
+        .groupBy(*group, "_rank", "_lo", "_hi", value)
         .agg(F.expr("count(*) AS _n" if weight is None else f"sum({weight}) AS _n"))
     )
-    by_window = ", ".join([*keys, "window_type", "window_start"])
-    upto = f"sum(_n) OVER (PARTITION BY {by_window} ORDER BY {value}) AS _upto"
+    window = [*keys, "window_type", "window_start"]
+    narrow = _narrow(counts, group, window, value)
+    upto = f"sum(_n) OVER (PARTITION BY {', '.join(window)} ORDER BY {value}) AS _upto"
     return (
-        counts.selectExpr("*", upto)
+        narrow.selectExpr("*", upto)
         .where("_rank <= _upto AND _rank > _upto - _n")
         .selectExpr(*group, f"{value} AS _p")
     )
 
 
+def _narrow(counts: DataFrame, group: list[str], window: list[str], value: str) -> DataFrame:
+    """The value counts of the part of a window's band that holds the rank, and the rank inside that part.
+
+    Parts are equal in width, so equal values share one. Both readers of `counts` use all of its columns and
+    join on a struct, which is never null: no filter goes below their common exchange.
+    """
+    part = f"coalesce(least({PARTS_PER_BAND - 1}L, floor(({value} - _lo) / (_hi - _lo) * {PARTS_PER_BAND})), 0L)"
+    placed = counts.selectExpr("*", f"struct({', '.join(window)}, {part} AS part) AS _w")
+    up = f"OVER (PARTITION BY {', '.join(window)} ORDER BY _w.part ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    wanted = (
+        placed.groupBy(*group, "_rank", "_lo", "_hi", "_w")
+        .agg(F.sum("_n").alias("_n"))
+        .selectExpr("_w", "_rank", "_n", f"sum(_n) {up} AS _upto")
+        .where("_rank <= _upto AND _rank > _upto - _n")
+        .selectExpr("_w", "_upto - _n AS _before")
+    )
+    return placed.join(wanted, "_w").selectExpr(*group, value, "_n", "_rank - _before AS _rank")
+
+
 def window_metrics(
     events: DataFrame,
     durations: dict[str, int] = TUMBLING,

@@ -140,3 +140,27 @@ def test_approximate_metrics_count_the_same_events_and_values(spark):
     columns = ["tenant_id", "event_type", "window_start", "count", "sum", "avg", "p99"]
     assert sorted(approx.select(*columns).collect()) == sorted(exact.select(*columns).collect())
     assert {r["sum"] for r in exact.collect()} == {6.0, 1.0}
+
+
+@pytest.mark.parametrize("kind", ["narrow", "ties", "two heaps", "mixed signs", "weighted"])
+def test_percentile_inside_one_hot_band(spark, kind):
+    """Many values of one band in one window: the part that holds the rank gives the exact nearest rank."""
+    rng = random.Random(kind)
+    draw = {
+        "narrow": lambda: rng.uniform(1000, 1010),
+        "ties": lambda: float(rng.choice([1000, 1003, 1003, 1007, 1009])),
+        "two heaps": lambda: 1000 + rng.random() * 1e-9 if rng.random() < 0.985 else 1010 - rng.random() * 1e-9,
+        "mixed signs": lambda: -rng.uniform(1000, 1010) if rng.random() < 0.995 else rng.uniform(1, 2),
+        "weighted": lambda: rng.uniform(1000, 1010),
+    }[kind]
+    rows = [("t", "e", rng.randrange(0, 600_000), draw(), rng.randrange(1, 4) if kind == "weighted" else 1) for _ in range(20_000)]
+    events = spark.createDataFrame(rows, "tenant_id string, event_type string, timestamp long, value double, w long")
+    got = window_metrics(events, weight="w" if kind == "weighted" else None).collect()
+    wanted = {}
+    for name, ms in TUMBLING.items():
+        for _, _, ts, v, w in rows:
+            wanted.setdefault((name, ts - ts % ms), []).extend([v] * w)
+    assert {(r["window_type"], r["window_start"]) for r in got} == set(wanted)
+    for r in got:
+        values = sorted(wanted[r["window_type"], r["window_start"]])
+        assert (r["count"], r["p99"]) == (len(values), values[-(-99 * len(values) // 100) - 1])
