@@ -75,16 +75,16 @@ def stream_session_windows(spark, sf_dir):
 
 
 def _accepted_in_batches(spark, sf_dir, batches=4):
-    """Rows that exact deduplication accepts when the events come as several files, one to a micro-batch."""
+    """Rows that exact deduplication accepts when the events come in parts by time, each a micro-batch of a run of its own."""
     out = shared_dir(spark, "stream-batches")
     events = load_events(spark, sf_dir).withColumn("key", F.concat_ws(":", "user_id", "event_type"))
     lo, hi = events.select(F.min("timestamp"), F.max("timestamp") + 1).first()
     cuts = [lo + (hi - lo) * i // batches for i in range(batches + 1)]
     for start, end in zip(cuts, cuts[1:], strict=False):
         part = events.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
-        part.coalesce(1).write.mode("append").parquet(f"{out}/source")
-    stream = read_files(spark, f"{out}/source", events.schema, max_files=1)
-    jobs.run_available(jobs.start_exact_dedup(stream, ["key"], out, f"{out}/checkpoint"))
+        part.write.mode("append").parquet(f"{out}/source")
+        stream = read_files(spark, f"{out}/source", events.schema)  # all files that are new
+        jobs.run_available(jobs.start_exact_dedup(stream, ["key"], out, f"{out}/checkpoint", buckets=stateful.BUCKETS))
     return spark.read.parquet(f"{out}/accepted")
 
 
@@ -108,7 +108,7 @@ def stream_dedup_exact(spark, sf_dir):
     keyed = _event_stream(spark, sf_dir).select(
         F.concat_ws(":", "user_id", "event_type").alias("key"), "timestamp", "seq"
     )
-    jobs.run_available(jobs.start_exact_dedup(keyed, ["key"], out, f"{out}/checkpoint"))
+    jobs.run_available(jobs.start_exact_dedup(keyed, ["key"], out, f"{out}/checkpoint", buckets=stateful.BUCKETS))
     return spark.read.parquet(f"{out}/accepted").select("key", "timestamp", "seq")
 
 
@@ -201,11 +201,12 @@ def stream_hot_windows(spark, sf_dir):
               FROM canon WHERE seq % 50 < 3 GROUP BY ALL
     UNION ALL SELECT 'windows', '', sum(n)::BIGINT FROM w WHERE window_end <= (SELECT max(ts) FROM v WHERE on_time) - 300000"""))
 def stream_ingest_chain(spark, sf_dir):
-    """Messages in five files, some sent twice, through the chained streams: rows stored, refused and counted in closed hours."""
+    """Messages in five parts, some sent twice, through the chained streams: rows stored, refused and counted in closed hours."""
     use_utc(spark)
     out = shared_dir(spark, "stream-chain")
     write_messages(load_events(spark, sf_dir), f"{out}/messages")
-    chain = read_chain(spark, f"{out}/messages", spark.read.parquet(f"{out}/messages").schema, out)
+    messages = spark.read.parquet(f"{out}/messages")
+    chain = read_chain(spark, f"{out}/messages", messages.schema, out, max_files=max(1, len(messages.inputFiles()) // 5))
     chain.run_available({"tumbling_1h": HOUR})
     tables = {
         "events": chain.read("events").select(F.lit("").alias("error"), F.lit(1).alias("n")),
@@ -216,8 +217,8 @@ def stream_ingest_chain(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def write_messages(events, path, files=5):
-    """The events as JSON messages with their arrival, every tenth sent again half an hour later, in files by arrival."""
+def write_messages(events, path, parts=5):
+    """The events as JSON messages with their arrival, every tenth sent again half an hour later, in parts by arrival, each of as many files as it takes."""
     received = F.col("timestamp") + F.pmod("seq", F.lit(20)) * 60000
     rows = dirty(events.withColumn("received_at", received))
     text = F.to_json(F.struct("id", "tenant_id", "user_id", "event_type", "source", "timestamp"))
@@ -227,6 +228,6 @@ def write_messages(events, path, files=5):
     again = sent.where("pmod(seq, 10) = 5").withColumn("received_at", F.col("received_at") + 1_800_000)
     sent = sent.unionByName(again).select("received_at", "value")
     lo, hi = sent.select(F.min("received_at"), F.max("received_at") + 1).first()
-    cuts = [lo + (hi - lo) * i // files for i in range(files + 1)]
+    cuts = [lo + (hi - lo) * i // parts for i in range(parts + 1)]
     for start, end in zip(cuts, cuts[1:], strict=False):
-        sent.where((F.col("received_at") >= start) & (F.col("received_at") < end)).coalesce(1).write.mode("append").parquet(path)
+        sent.where((F.col("received_at") >= start) & (F.col("received_at") < end)).write.mode("append").parquet(path)

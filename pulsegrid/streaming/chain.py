@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from ..functions.payloads import payload_value
-from ..functions.timing import TUMBLING, with_calendar
+from ..functions.timing import DAY, TUMBLING, with_calendar
 from ..operators.dedup import DEDUP_TTL
 from ..operators.ingest import apply_defaults, flag_late, for_windows, resolve_tenant, validate
 from ..sources.decode import decode_events
@@ -47,10 +47,13 @@ def stored(rows: DataFrame, path: str, checkpoint: str, *partitions: str) -> Dat
 
 
 class IngestChain:
-    """The streams of one installation; tables and checkpoints lie in folders under `root`."""
+    """The streams of one installation; tables and checkpoints lie in folders under `root`.
 
-    def __init__(self, messages: DataFrame, root: str, received_at: str = "received_at", header: str | None = None, ttl_ms: int = DEDUP_TTL):
-        self.spark, self.root, self.received_at, self.ttl_ms = messages.sparkSession, root.rstrip("/"), received_at, ttl_ms
+    `buckets` is how many buckets of ids share the state of duplicates, and as fixed as a checkpoint; None: state per id.
+    """
+
+    def __init__(self, messages: DataFrame, root: str, received_at: str = "received_at", header: str | None = None, ttl_ms: int = DEDUP_TTL, buckets: int | None = stateful.BUCKETS):
+        self.spark, self.root, self.received_at, self.ttl_ms, self.buckets = messages.sparkSession, root.rstrip("/"), received_at, ttl_ms, buckets
         self.rows = landed(messages, received_at=received_at, header=header)
 
     def path(self, name: str) -> str:
@@ -74,8 +77,12 @@ class IngestChain:
     def start_events(self) -> DataStreamWriter:
         """First copies by id within the time to live, by arrival; late events are stored like others, with their label."""
         jobs.use_rocksdb(self.spark)
-        first = stateful.drop_duplicates_exact(self._good(), ["id"], ts=self.received_at, seq="timestamp", ttl_ms=self.ttl_ms, lateness=ARRIVAL_LATENESS)
-        return stored(with_calendar(first), self.path("events"), self.path("checkpoints/events"), "tenant_id", "event_date")
+        first = stateful.drop_duplicates_exact(
+            self._good(), ["id"], ts=self.received_at, seq="timestamp", ttl_ms=self.ttl_ms, lateness=ARRIVAL_LATENESS, buckets=self.buckets
+        )
+        # Quarters of a tenant's day go to a task each: rows dealt by id would give every task a file in every day.
+        together = with_calendar(first).repartition("tenant_id", "event_date", F.expr(f"pmod(timestamp, {DAY}L) div {DAY // 4}L"))
+        return stored(together, self.path("events"), self.path("checkpoints/events"), "tenant_id", "event_date")
 
     def event_schema(self) -> StructType:
         return with_calendar(self.rows.drop("error", "raw")).schema

@@ -162,15 +162,17 @@ def drop_duplicates(events: DataFrame, keys: list[str], horizon: str = DEDUP_HOR
 
 
 def start_exact_dedup(
-    events: DataFrame, keys: list[str], path: str, checkpoint: str, seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = stateful.LATENESS
-) -> DataStreamWriter:
+    events: DataFrame, keys: list[str], path: str, checkpoint: str, seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = stateful.LATENESS,
+    buckets: int | None = None,
+) -> DataStreamWriter:
     """Accepted events under the exact rule: a key is free again `ttl_ms` after its last acceptance.
 
     State per key takes the place of the accepted table, which the job only writes. (drop_duplicates keeps less state
-    but frees a key only once the watermark has passed, up to another horizon later.)
+    but frees a key only once the watermark has passed, up to another horizon later.) With many keys, `buckets` of them
+    share a state row: see `stateful.drop_duplicates_exact`.
     """
     use_rocksdb(events.sparkSession)  # the state store that keyed state and timers need
-    accepted = stateful.drop_duplicates_exact(events, keys, seq=seq, ttl_ms=ttl_ms, lateness=lateness)
+    accepted = stateful.drop_duplicates_exact(events, keys, seq=seq, ttl_ms=ttl_ms, lateness=lateness, buckets=buckets)
     return (
         accepted.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)

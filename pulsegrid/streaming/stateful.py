@@ -23,6 +23,8 @@ from ..operators.dedup import DEDUP_TTL
 LATENESS = "24 hours"
 IDLE = 90 * DAY  # as long as windows are kept
 TIME = "_event_time"
+KEY, BUCKET = "dedup_key", "dedup_bucket"  # without a leading underscore: rows reach Python as named tuples
+BUCKETS = 1024  # of jobs over many keys
 SHIFT = 100 * 365 * DAY  # a stream's watermark begins at 1970, and what is not after it is late: times count from a century earlier
 
 SCORED = "tenant_id string, event_type string, window_start bigint, count bigint, z_score double, is_anomaly boolean"
@@ -85,16 +87,49 @@ class DuplicateGate(Expiring):
         yield frame.loc[keep, self.columns]
 
 
-def drop_duplicates_exact(events: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = LATENESS) -> DataFrame:
+class BucketGate(DuplicateGate):
+    """The same for all keys of a bucket at once: one call and one state row for the bucket, which holds each key's times."""
+
+    layout = "taken map<string,array<bigint>>, until bigint"
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values([self.ts, self.seq], ignore_index=True)
+        known = self.kept()
+        before = dict(known[0]) if known else {}
+        keep, own = [], {}
+        for i, (k, at) in enumerate(zip(frame[KEY].tolist(), frame[self.ts].tolist(), strict=True)):
+            mine = own.get(k)
+            if (mine is None or at - mine[-1] >= self.ttl_ms) and all(abs(at - b) >= self.ttl_ms for b in before.get(k, ())):
+                keep.append(i)
+                own.setdefault(k, []).append(at)
+        oldest = timerValues.getCurrentWatermarkInMs() - SHIFT - self.ttl_ms
+        times = {k: sorted(int(t) for t in (*before.get(k, ()), *own.get(k, ())) if t > oldest) for k in {**before, **own}}
+        taken = {k: t for k, t in times.items() if t}
+        if taken and taken != {k: list(t) for k, t in before.items()}:
+            self.keep((taken,), max(t[-1] for t in taken.values()) + self.ttl_ms)
+        yield frame.loc[keep, self.columns]
+
+
+def drop_duplicates_exact(
+    events: DataFrame, keys: list[str], ts: str = "timestamp", seq: str = "seq", ttl_ms: int = DEDUP_TTL, lateness: str = LATENESS, buckets: int | None = None
+) -> DataFrame:
     """Accepted arrivals of a stream: a key is free again `ttl_ms` after (and before) its accepted ones; copies do not extend that.
 
     A key's state is the few accepted times that lie less than a period behind the watermark; it goes when the watermark
     has passed the last of them by a period. A task holds the rows of one key of one micro-batch.
+
+    Each call into Python for a key and its state costs milliseconds, whatever it does. With `buckets`, keys are dealt by
+    hash into that many, which share a call, a state row and a timer; a task then holds the rows of one bucket of one
+    micro-batch. The number must stay the same for the life of a checkpoint.
     """
     # Maps travel as JSON text: a Python worker would give them back as lists of pairs.
     maps = {f.name: f.dataType for f in events.schema if isinstance(f.dataType, MapType)}
     slim = events.withColumns({c: F.to_json(c) for c in maps})
-    accepted = _stateful(slim, keys, ts, lateness, DuplicateGate(ts, seq, ttl_ms, slim.columns), slim.schema)
+    if buckets is None:
+        accepted = _stateful(slim, keys, ts, lateness, DuplicateGate(ts, seq, ttl_ms, slim.columns), slim.schema)
+    else:
+        dealt = slim.withColumns({KEY: F.to_json(F.struct(*keys)), BUCKET: F.pmod(F.xxhash64(*keys), F.lit(buckets))})
+        accepted = _stateful(dealt, [BUCKET], ts, lateness, BucketGate(ts, seq, ttl_ms, slim.columns), slim.schema)
     return accepted.withColumns({c: F.from_json(c, kind) for c, kind in maps.items()})
 
 

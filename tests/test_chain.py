@@ -169,3 +169,18 @@ def test_all_progress_is_kept(spark, tmp_path):
         assert rows.agg(F.sum("input_rows")).first()[0] == n
     finally:
         spark.streams.removeListener(log)
+
+
+def test_a_days_events_lie_in_few_files_however_many_tasks(spark, tmp_path):
+    root, source, t0 = str(tmp_path / "root"), str(tmp_path / "messages"), 10 * DAY
+    spark.createDataFrame([message(i, t0 + i * M, t0 + i * M) for i in range(1400)], MESSAGE).write.parquet(source)
+    chain = read_chain(spark, source, spark.createDataFrame([], MESSAGE).schema, root, max_files=None)
+    jobs.run_available(chain.start_landing())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        jobs.run_available(chain.start_events())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert chain.read("events").count() == 1400
+    assert len(list(Path(root, "events").rglob("*.parquet"))) <= 4

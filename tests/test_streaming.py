@@ -229,3 +229,27 @@ def test_cooldown_state_ends(spark, tmp_path):
         )
     assert spark.read.parquet(f"{out}/data").count() == 4
     assert {r["key"]["rule_id"] for r in states(spark, f"{out}/cp").select("key").collect()} == {"c", "d"}
+
+
+def test_keys_of_a_bucket_share_state_and_differ_in_nothing(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "d", "a string, b string, timestamp bigint, seq bigint")
+    out, hour, rng = str(tmp_path / "o"), 3_600_000, random.Random(4)
+    keys = [(x, y) for x in ("p", "q", None, "p,q") for y in ("p", None, "r", "s")]
+    rows = sorted((rng.randrange(120 * hour), i) for i in range(500))
+    rows = [(*rng.choice(keys), t, i) for i, (t, _) in enumerate(rows)]
+    for part in range(4):  # each run is a restart
+        mine = rows[part * 125 : part * 125 + 125]
+        rng.shuffle(mine)
+        feed.add(mine)
+        jobs.run_available(jobs.start_exact_dedup(feed.stream(), ["a", "b"], out, f"{out}/cp", buckets=3))
+    last, want = {}, set()
+    for *k, t, i in rows:
+        if tuple(k) not in last or t - last[tuple(k)] >= 24 * hour:
+            last[tuple(k)] = t
+            want.add(i)
+    assert {r["seq"] for r in spark.read.parquet(f"{out}/accepted").collect()} == want
+    assert states(spark, f"{out}/cp").count() <= 3
+    for t in (400 * hour, 401 * hour):
+        feed.add([("new", "new", t, t)])
+        jobs.run_available(jobs.start_exact_dedup(feed.stream(), ["a", "b"], out, f"{out}/cp", buckets=3))
+    assert [list(r["value"]["taken"]) for r in states(spark, f"{out}/cp").collect()] == [['{"a":"new","b":"new"}']]
