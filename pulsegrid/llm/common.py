@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 def slices(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows of about `budget` characters of `column`; no row is split or dropped."""
     start = size = 0
-    for i, n in enumerate(len(t) for t in texts_of(batch, column)):
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()):
         if size and size + n > budget:
             yield batch.slice(start, i - start)
             start, size = i, 0

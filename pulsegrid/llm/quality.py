@@ -16,8 +16,9 @@ from pulsegrid.llm.common import Cache, slices, texts_of, written
 
 FIT_ROWS = 10_000  # bound of the labelled sample that the model is fitted on
 STEMS, SHAPES, DIM, HIDDEN = 8192, 1024, 32, 32
-CACHED_WORDS = 400_000
-WORDS_PER_STEP = 200_000
+CACHED_WORDS = 200_000
+WORDS_PER_STEP = 40_000
+CHARS_PER_STEP = 250_000  # of texts pooled at a time: with the line above, a worker's arrays take tens of megabytes
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = ((re.compile(r"[^\W\d_A-Z]+"), "a"), (re.compile(r"[A-Z]+"), "A"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1\1"))
@@ -96,6 +97,11 @@ class QualityModel:
 
     def pooled(self, texts: list[str]) -> np.ndarray:
         """Mean word vector of each text, by stem and by shape, and its log length; zeros for a text without words."""
+        ends = np.cumsum([len(t) for t in texts]) // CHARS_PER_STEP
+        parts = np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1)
+        return np.concatenate([self._pooled([texts[i] for i in part]) for part in parts])
+
+    def _pooled(self, texts: list[str]) -> np.ndarray:
         stem, shape, bounds = coded(texts)
         out = np.zeros((len(texts), 2 * DIM + 1), np.float32)
         lengths = np.diff(bounds)
