@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -20,6 +20,18 @@ SPACE = "\u2581"
 CACHED_WORDS = 400_000
 
 
+class PackedWords(Cache):
+    """Packed ids by word; a word that is not there yet is solved when it is looked up."""
+
+    def __init__(self, solve: Callable[[str], list[int]]):
+        super().__init__(CACHED_WORDS)
+        self.solve = solve
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = packed = np.array(self.solve(word), "<u4").tobytes()
+        return packed
+
+
 class PieceCodec:
     """Best-scoring segmentation of a text into the pieces of a model.
 
@@ -48,7 +60,7 @@ class PieceCodec:
         self.first_byte_ids = {i: b for b, i in enumerate(self.bytes) if i != model.unk_id()}
         self.decoded = {i: pieces[i].replace(SPACE, " ").encode() for i in plain}
         self.decoded |= {i: bytes([b]) for i, b in self.first_byte_ids.items()}
-        self.words = Cache(CACHED_WORDS)
+        self.words = PackedWords(self.viterbi)
         self.split = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 
     def viterbi(self, word: str) -> list[int]:
@@ -85,12 +97,8 @@ class PieceCodec:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        words, known = self.split(SPACE + text.replace(" ", SPACE)), self.words
-        for w in words:
-            if w not in known:
-                known[w] = np.array(self.viterbi(w), "<u4").tobytes()
-        out = b"".join([known[w] for w in words])
-        known.trim()
+        out = b"".join(map(self.words.__getitem__, self.split(SPACE + text.replace(" ", SPACE))))
+        self.words.trim()
         return out
 
     def encode(self, text: str) -> list[int]:
