@@ -5,6 +5,9 @@ counted per class. Below it both classes share one chain of continuation counts,
 say nothing, and a stem counts in forms that were never seen. The log-likelihood ratio per word of a text, and how much
 of it comes from words that are likelier in toxic texts by some factor or more, go through a logistic curve fitted on labelled documents
 that were left out of the counts.
+
+The ratios of all grams are a table that Spark makes by joins over the orders. Workers get the common ones; words with
+a rare gram are joined to the whole table, so every gram has its own ratio however many there are.
 """
 
 from __future__ import annotations
@@ -12,20 +15,21 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from pulsegrid.llm.common import Cache, slices, texts_of, written
 from pulsegrid.llm.fuzzy_lines import _places, bloom
 
 ORDER = 6  # characters of a gram
 DISCOUNT = 0.75
-SHARE = 1 << 17  # a gram or history stays in the model if it is at least this part of all those of its class or order
+NEAR_ROWS = 1 << 20  # bound of the grams and histories that workers hold; words with others are joined to all of them
 FIT_ROWS = 20_000  # bound of the labelled sample that the logistic curve is fitted on
 TELLING = (1.0, 3.0, 5.0)  # log-likelihood ratios beyond which the excess of a word counts by itself
 CACHED_WORDS, FLUSH = 400_000, 400_000
@@ -68,73 +72,154 @@ def _history(c: str = "gram") -> F.Column:
     return F.expr(f"left({c}, length({c}) - 1)")
 
 
-def _large(rows: DataFrame, *counts: str) -> DataFrame:
-    """Rows in which a count is at least the `SHARE`-th part of its sum: at most `SHARE` rows for each of `counts`, by arithmetic."""
-    sums = rows.agg(*(F.sum(c).alias(f"__{c}") for c in counts))
-    kept = " OR ".join(f"({c} > 0 AND {c} * {SHARE} >= __{c})" for c in counts)
-    return rows.join(F.broadcast(sums), how="cross").where(kept).drop(*sums.columns)  # one row of sums
-
-
-def model_tables(counted: DataFrame) -> dict[str, dict[str, tuple[int, int]]]:
-    """What the model needs of all counts, of bounded size: by kind and gram, two counts (a, b).
+def model_tables(counted: DataFrame) -> DataFrame:
+    """(gram, history, n, value) of all counts, written: of a gram its log-likelihood ratio, of a history that of any gram never seen after it.
 
-    Kinds: top (of a gram: counts per class), seen (of a history: counts per class), and for each lower order k: next_k
-    (of a gram: distinct left neighbours) and back_k (of a history: their sum, and how many grams it has).
+    `n` is how often it occurs. The lower orders are counts of distinct left neighbours; each order's shared probability
+    comes by joins from the one below.
     """
-    own = counted.select("gram", F.col("n0").alias("a"), F.col("n1").alias("b"))
-    seen = own.groupBy(_history().alias("gram")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    shaped = lambda rows, kind: rows.select(F.lit(kind).alias("kind"), "gram", "a", F.col("b") if "b" in rows.columns else F.lit(0).cast("long").alias("b"))
-    parts = [shaped(_large(own, "a", "b"), "top"), shaped(_large(seen, "a", "b"), "seen")]
-    longer = counted.where(F.length("gram") == ORDER).select("gram")
+    below = lambda c: F.expr(f"substring({c}, 2)")
+    less = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
+    types, longer = {}, counted.where(F.length("gram") == ORDER).select("gram")
     for k in range(ORDER - 1, 0, -1):
-        types = written(longer.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("a")), f"order{k}")
-        back = types.groupBy(_history().alias("gram")).agg(F.sum("a").alias("a"), F.count("*").alias("b"))
-        parts += [shaped(_large(types, "a"), f"next{k}"), shaped(_large(back, "a"), f"back{k}")]
-        longer = types.select("gram").union(counted.where((F.length("gram") == k) & F.col("gram").startswith(" ")).select("gram"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    tables: dict[str, dict[str, tuple[int, int]]] = {}
-    for kind, gram, a, b in zip(*(c.to_pylist() for c in written(out, "model").toArrow().columns), strict=True):
-        tables.setdefault(kind, {})[gram] = (a, b)
-    return tables  # at most 2 * SHARE rows each of top and seen, SHARE each of the others
+        types[k] = written(longer.groupBy(below("gram").alias("gram")).agg(F.count("*").alias("a")), f"order{k}")
+        longer = types[k].select("gram").union(counted.where((F.length("gram") == k) & F.col("gram").startswith(" ")).select("gram"))
+    shared = None
+    for k in range(1, ORDER):
+        back = types[k].groupBy(_history().alias("h")).agg(F.sum("a").alias("total"), F.count("*").alias("kinds"))
+        rows = types[k].withColumn("h", _history()).join(back, "h")
+        rows = rows.withColumn("base", 1 / (F.col("kinds") + 1)) if shared is None else rows.join(lower, below("gram") == F.col("tail"))
+        p = rows.select(F.col("gram").alias("tail"), ((less("a") + DISCOUNT * F.col("kinds") * F.col("base")) / F.col("total")).alias("base"))
+        lower = written(p, f"shared{k}")
+        shared = lower if shared is None else shared.union(lower)
+    own = counted.withColumn("h", _history())
+    # What the grams of a history leave to all others.
+    left = lambda c: F.sum(F.col(c) - less(c))
+    seen = own.groupBy("h").agg(F.sum("n0").alias("all0"), F.sum("n1").alias("all1"), left("n0").alias("left0"), left("n1").alias("left1"))
+    weight = lambda c: F.when(F.col(f"all{c}") > 0, F.col(f"left{c}") / F.col(f"all{c}")).otherwise(1.0)
+    seen = written(seen.select("h", "all0", "all1", weight(0).alias("w0"), weight(1).alias("w1")), "histories")
+    chance = lambda c: F.when(F.col(f"all{c}") > 0, less(f"n{c}") / F.col(f"all{c}")).otherwise(0.0) + F.col(f"w{c}") * F.col("base")
+    rows = own.join(seen, "h").join(shared, below("gram") == F.col("tail"))
+    rows = rows.select("gram", F.lit(False).alias("history"), (F.col("n0") + F.col("n1")).alias("n"), (F.log(chance(1)) - F.log(chance(0))).alias("value"))
+    return written(rows.union(seen.select("h", F.lit(True), F.col("all0") + F.col("all1"), F.log("w1") - F.log("w0"))), "model")
+
+
+def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points plus one of `words`, each after `ORDER` - 1 zeros, and where each begins."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + ORDER - 1
+    pad = " " * (ORDER - 1)
+    codes = np.frombuffer((pad + pad.join(words)).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    first = np.cumsum(lengths) - lengths
+    codes[(first[:, None] + np.arange(ORDER - 1)).ravel()] = 0
+    return codes, first
+
+
+def _hashes(codes: np.ndarray, at: np.ndarray, history: bool = False) -> np.ndarray:
+    """64-bit hashes of the `ORDER` code points that end at each place of `at`, or of the history before it."""
+    bits = [np.uint64(21 * k) for k in range(3)]
+    a = codes[at - 5] | codes[at - 4] << bits[1] | codes[at - 3] << bits[2]
+    last = np.uint64((1 << 21) - 1) if history else codes[at]  # no code point is that large
+    h = a * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h += codes[at - 2] | codes[at - 1] << bits[1] | last << bits[2]
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
+
+
+def _entry_hashes(names: list[str], history: np.ndarray) -> np.ndarray:
+    """Hashes of grams, and of histories where `history` says so."""
+    codes, first = _codes([g + " " if h else g for g, h in zip(names, history, strict=True)])
+    at = np.append(first[1:], len(codes)) - 1
+    return np.where(history, _hashes(codes, at, True), _hashes(codes, at)) if names else np.empty(0, np.uint64)
+
+
+@dataclass
+class Ratios:
+    """The common grams and histories by hash. `rare`: a bit table of all others, None if there are none."""
+
+    keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # ascending
+    values: np.ndarray = field(default_factory=lambda: np.empty(0))
+    rare: np.ndarray | None = None
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each hash: its value, whether it has one here, whether it may be a rare one."""
+        own, back = np.unique(hashes, return_inverse=True)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            found = self.keys[at] == own
+            values = np.where(found, self.values[at], 0.0)
+        else:
+            found, values = np.zeros(len(own), bool), np.zeros(len(own))
+        rare = ~found if self.rare is not None else np.zeros(len(own), bool)
+        if rare.any():
+            for place in _places(own.view(np.int64), len(self.rare) * 8):
+                rare &= (self.rare[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return values[back], found[back], rare[back]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """The ratio of each word, the sum over its grams; nan if it may have a gram or history that is not here."""
+        codes, first = _codes([f" {w} " for w in words])
+        begin = first + ORDER  # the first character of each word
+        end = np.append(first[1:], len(codes))
+        sizes = end - begin
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(begin - starts, sizes)
+        values, found, rare = self.find(_hashes(codes, at))
+        other = np.flatnonzero(~found)
+        values[other], _, unsure = self.find(_hashes(codes, at[other], True))
+        values[other[rare[other] | unsure]] = np.nan
+        return np.add.reduceat(values, starts)
 
 
 @dataclass
 class ToxicityModel:
-    """`ratio`: log-likelihood ratio of grams in the model; `unseen`: that of any other gram after a history."""
+    """`near`: what workers hold, with `names` (gram, history, value); `entries`: all grams and histories, a table in the shared folder."""
 
-    ratio: dict = field(default_factory=dict)
-    unseen: dict = field(default_factory=dict)
+    near: Ratios = field(default_factory=Ratios)
+    names: pa.Table | None = None
+    entries: DataFrame | None = None
     curve: tuple | None = None  # None: one class only, `share` is the score of every text
     share: float = 0.0
 
-    def word(self, word: str) -> float:
-        ratio, unseen, total = self.ratio, self.unseen, 0.0
-        for g in grams(word):
-            r = ratio.get(g)
-            total += unseen.get(g[:-1], 0.0) if r is None else r
-        return total
-
-    def features(self, texts: list[str], known: dict) -> np.ndarray:
-        """Of each text: mean ratio of its words, number of words, mean excess over each of `TELLING`; zeros for a text without words."""
-        out = np.zeros((len(texts), 2 + len(TELLING)))
-        for i, t in enumerate(texts):
-            words = t.lower().split()
-            if not words:
-                continue
-            for w in words:
-                if w not in known:
-                    known[w] = self.word(w)
-            ratios = np.fromiter(map(known.__getitem__, words), float, len(words))
-            out[i] = ratios.mean(), len(words), *(np.maximum(ratios - t, 0).mean() for t in TELLING)
-        return out
+    @property
+    def ratio(self) -> dict[str, float]:
+        """Log-likelihood ratios of the grams that workers hold."""
+        columns = self.names.to_pydict() if self.names is not None else {"gram": [], "history": [], "value": []}
+        return {g: v for g, h, v in zip(columns["gram"], columns["history"], columns["value"], strict=True) if not h}
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        if self.curve is None:
-            return np.full(len(x), self.share)
-        centre, scale, weights = self.curve
-        return 1 / (1 + np.exp(-np.clip(_inputs(x, centre, scale) @ weights, -40, 40)))
+        return _scores(x, self.curve, self.share)
+
+
+def _scores(x: np.ndarray, curve: tuple | None, share: float) -> np.ndarray:
+    if curve is None:
+        return np.full(len(x), share)
+    centre, scale, weights = curve
+    return 1 / (1 + np.exp(-np.clip(_inputs(x, centre, scale) @ weights, -40, 40)))
+
+
+def sums(texts: list[str], near: Ratios, known: dict) -> tuple[np.ndarray, list[list[tuple[str, int]]]]:
+    """Of each text: sum of the ratios of its words, number of words, summed excess over each of `TELLING`.
+
+    The second list has the words (and how often) whose ratio `near` does not know and the sums leave out.
+    """
+    out, rare = np.zeros((len(texts), 2 + len(TELLING))), []
+    split = [t.lower().split() for t in texts]
+    new = [w for w in set().union(*split) if w not in known]
+    for i in range(0, len(new), 1 << 16):
+        known.update(zip(new[i : i + (1 << 16)], near.words(new[i : i + (1 << 16)]).tolist(), strict=True))
+    for i, words in enumerate(split):
+        own = []
+        if words:
+            ratios = np.fromiter(map(known.__getitem__, words), float, len(words))
+            if near.rare is not None and (gone := np.isnan(ratios)).any():
+                own = list(Counter(words[k] for k in np.flatnonzero(gone)).items())
+                ratios = ratios[~gone]
+            out[i] = ratios.sum(), len(words), *(np.maximum(ratios - t, 0).sum() for t in TELLING)
+        rare.append(own)
+    return out, rare
 
 
 def _inputs(x: np.ndarray, centre: np.ndarray | float = 0.0, scale: np.ndarray | float = 1.0) -> np.ndarray:
@@ -143,34 +228,30 @@ def _inputs(x: np.ndarray, centre: np.ndarray | float = 0.0, scale: np.ndarray |
     return np.column_stack([z, np.ones(len(z))])
 
 
-def kneser_ney(of: dict[str, dict[str, tuple[int, int]]]) -> ToxicityModel:
-    """Log-likelihood ratios from the model's tables."""
-    lower = [(of.get(f"next{k}", {}), of.get(f"back{k}", {})) for k in range(ORDER)]
-    characters = lower[1][1].get("", (0, 0))[1] + 1
-
-    def shared(gram: str) -> float:
-        if not gram:
-            return 1 / characters
-        following, history = lower[len(gram)]
-        if gram[:-1] not in history:
-            return shared(gram[1:])
-        total, kinds = history[gram[:-1]]
-        return (max(following.get(gram, (0,))[0] - DISCOUNT, 0) + DISCOUNT * kinds * shared(gram[1:])) / total
-
-    model, top, seen = ToxicityModel(), of.get("top", {}), of.get("seen", {})
-    # What the grams of a history that the model has leave to all others, discounts and counts of left-out grams alike.
-    left = {h: list(counts) for h, counts in seen.items()}
-    for g, counts in top.items():
-        for c in (0, 1):
-            left[g[:-1]][c] -= max(counts[c] - DISCOUNT, 0)
-    weight = lambda h, c: left[h][c] / seen[h][c] if seen[h][c] else 1.0
-    for h in seen:
-        model.unseen[h] = log(weight(h, 1)) - log(weight(h, 0))
-    for g, counts in top.items():
-        h, base = g[:-1], shared(g[1:])
-        ordinary, toxic = ((max(counts[c] - DISCOUNT, 0) / seen[h][c] if seen[h][c] else 0) + weight(h, c) * base for c in (0, 1))
-        model.ratio[g] = log(toxic / ordinary)
-    return model
+def kneser_ney(entries: DataFrame) -> ToxicityModel:
+    """A model without a curve from all grams and histories: workers hold the most frequent, at most `NEAR_ROWS`, and a bit table of the others."""
+    level = F.floor(F.log2("n"))
+    counts = {int(b): int(n) for b, n in entries.groupBy(level).agg(F.count("*")).collect()}  # a row for each power of two
+    least, total = max(counts, default=0) + 1, 0
+    for b in sorted(counts, reverse=True):
+        total += counts[b]
+        if total > NEAR_ROWS:
+            break
+        least = b
+    common = level >= least
+    names = entries.where(common).select("gram", "history", "value").toArrow()
+    keys = _entry_hashes(names["gram"].to_pylist(), names["history"].to_numpy())
+    order = np.argsort(keys)
+    near = Ratios(keys[order], names["value"].to_numpy()[order])
+    if others := sum(n for b, n in counts.items() if b < least):
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = _entry_hashes(batch["gram"].to_pylist(), batch["history"].to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64))], ["id"])
+
+        near.rare = bloom(entries.where(~common).select("gram", "history").mapInArrow(run, "id long"), others)
+    return ToxicityModel(near, names, entries)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple:
@@ -209,7 +290,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS
 
     Four fifths of them (by a hash of the key) give the counts, whole and without a bound; at most `fit_rows` of the rest
     give the logistic curve. Rows with a null key or label are left out; a key with several labels is toxic if one says
-    so. The driver sees the model, whose size `SHARE` bounds, and a few numbers per document of that sample. Without
+    so. The driver sees the common grams, at most `NEAR_ROWS`, and a few numbers per document of that sample. Without
     labels, or with one class, every text scores the share of toxic labels (0 if none).
     """
     own = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
@@ -229,28 +310,83 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS
     return model
 
 
-def _features(docs: DataFrame, model: ToxicityModel, text: str, keep: list[str]) -> DataFrame:
-    names = ["__ratio", "__words", *(f"__over{t:g}" for t in TELLING), "__score"]
-    schema = docs.select(*keep).schema
-    for c in names:
-        schema = schema.add(c, "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SHARE
+def _word_ratios(words: DataFrame, entries: DataFrame) -> DataFrame:
+    """(word, ratio) of distinct `words`, by joins of all their grams and histories to `entries`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = shared.value, Cache(CACHED_WORDS)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.column("word").slice(at, 1024).to_pylist()
+                own = [grams(w) for w in part]
+                names = [g for gs in own for g in gs]
+                columns = [[w for w, gs in zip(part, own, strict=True) for _ in gs], names, [g[:-1] for g in names]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["word", "g", "h"])
+
+    rows = words.mapInArrow(run, "word string, g string, h string")
+    of = lambda c, history, value: entries.where(F.col("history") == history).select(F.col("gram").alias(c), F.col("value").alias(value))
+    rows = rows.join(of("g", False, "own"), "g", "left").join(of("h", True, "unseen"), "h", "left")
+    return rows.groupBy("word").agg(F.sum(F.coalesce("own", "unseen", F.lit(0.0))).alias("ratio"))
+
+
+def _features(docs: DataFrame, model: ToxicityModel, text: str, keep: list[str]) -> DataFrame:
+    """The columns `keep` and, of each text: mean ratio of its words, number of words, mean excess over each of `TELLING`, score.
+
+    Zeros for a text without words. Narrow if workers hold the whole model. Else the sums over the words that they know
+    are written, words with a rare gram get their ratio by joins, and what they add to a text meets it by the text's digest.
+    """
+    over = [f"__over{t:g}" for t in TELLING]
+    names = ["__ratio", "__words", *over, "__score"]
+    doubles = lambda columns: [StructField(c, DoubleType()) for c in columns]
+    kept_fields = list(docs.select(*keep).schema)
+    shared = docs.sparkSession.sparkContext.broadcast(model.near)  # bounded by NEAR_ROWS
+    curve, share = model.curve, model.share
+
+    def means(x: np.ndarray) -> np.ndarray:
+        x[:, [0, *range(2, x.shape[1])]] /= np.maximum(x[:, 1:2], 1)
+        return x
+
+    def summed(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+        near, known = shared.value, Cache(CACHED_WORDS)
         for batch in batches:
             for part in slices(batch, text, 2_000_000):
-                x = own.features(texts_of(part, text), known)
+                texts = texts_of(part, text)
+                x, rare = sums(texts, near, known)
                 known.trim()
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *map(pa.array, x.T), pa.array(own.scores(x))], [*keep, *names])
+                kept = [part.column(c) for c in keep]
+                if whole:
+                    x = means(x)
+                    yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, x.T), pa.array(_scores(x, curve, share))], [*keep, *names])
+                else:
+                    digests = pa.array([xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+                    lists = pa.array([[{"word": w, "n": n} for w, n in own] for own in rare], pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))
+                    yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, x.T), digests, lists], [*keep, *names[:-1], "__text", "__rare"])
+
+    rows = docs.select(*dict.fromkeys([*keep, text]))
+    final = StructType(kept_fields + doubles(names))
+    if model.near.rare is None:
+        return rows.mapInArrow(lambda batches: summed(batches, True), final)
+    wide = StructType(kept_fields + doubles(names[:-1])).add("__text", "binary").add("__rare", ArrayType(StructType().add("word", "string").add("n", "long")))
+    rows = written(rows.mapInArrow(lambda batches: summed(batches, False), wide), "sums")
+    rare = rows.where(F.size("__rare") > 0).select("__text", F.explode("__rare").alias("r")).select("__text", "r.word", "r.n").dropDuplicates(["__text", "word"])
+    ratios = written(_word_ratios(rare.select("word").distinct(), model.entries), "rare_words")
+    more = [F.sum(F.col("n") * F.col("ratio")), *(F.sum(F.col("n") * F.greatest(F.col("ratio") - t, F.lit(0.0))) for t in TELLING)]
+    added = rare.join(ratios, "word").groupBy("__text").agg(*(e.alias(f"__more{i}") for i, e in enumerate(more)))
+    plus = {c: F.col(c) + F.coalesce(f"__more{i}", F.lit(0.0)) for i, c in enumerate(["__ratio", *over])}
+    rows = rows.join(added, "__text", "left").withColumns(plus).select(*keep, *names[:-1])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = means(np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names[:-1]]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *map(pa.array, x.T), pa.array(_scores(x, curve, share))], [*keep, *names])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return rows.mapInArrow(scored, final)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text: str = "text", into: str = "score", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all) of `docs` with the score of every whole text, in a column that replaces one of the same name.
 
-    Scores lie in 0..1; a null text is an empty one, and empty texts are scored like any other. Narrow: no shuffle.
+    Scores lie in 0..1; a null text is an empty one, and empty texts are scored like any other. Narrow, without a shuffle,
+    unless the model has rare grams; then only sums and words that have such a gram are shuffled.
     """
     keep = [c for c in (keep or docs.columns) if c != into]
     return _features(docs, model, text, keep).select(*keep, F.col("__score").alias(into))
