@@ -17,7 +17,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from pulsegrid.llm.common import Cache, texts_of, written
 
-CACHED_CHUNKS, CACHED_WORDS = 500_000, 400_000
+CACHED_CHUNKS, CACHED_WORDS = 1_000_000, 600_000
 LATIN = "\u024f"  # the last letter of the blocks whose classes and lower case are the same in all Unicode versions
 # Fixed value: how the tokenizer cuts a chunk without white space before its merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -53,7 +53,7 @@ class ChunkTokenizer:
     def _learn(self, chunks: list[str]) -> None:
         cut = {}
         for c in chunks:
-            if c and max(c) > LATIN or "<|" in c:
+            if not c.isascii() and max(c) > LATIN or "<|" in c:
                 self.chunks[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
             elif (low := c.lower()).isalpha():
                 cut[c] = (low,)
@@ -65,19 +65,26 @@ class ChunkTokenizer:
         unknown = [w for w in set().union(*cut.values()) if w not in known]
         for i in range(0, len(unknown), 4096):
             self._learn_words(unknown[i : i + 4096])
-        self.chunks.update((c, b"".join([known[w] for w in words])) for c, words in cut.items())
+        own = known.__getitem__
+        self.chunks.update((c, own(words[0]) if len(words) == 1 else b"".join(map(own, words))) for c, words in cut.items())
         known.trim()
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, unsigned 32-bit little-endian."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.chunks
-        unknown = [c for c in set().union(*split) if c not in known]
+        known, unknown, found = self.chunks, {}, []
+        for t in texts:
+            chunks = t.replace("\n", " ").split(" ")
+            ids = list(map(known.get, chunks))
+            gaps = [(i, chunks[i]) for i, own in enumerate(ids) if own is None]
+            unknown.update((c, None) for _, c in gaps)
+            found.append((ids, gaps))
         if unknown:
-            self._learn(unknown)
-        out = [b"".join([known[c] for c in chunks]) for chunks in split]
+            self._learn(list(unknown))
+        for ids, gaps in found:
+            for i, c in gaps:
+                ids[i] = known[c]
         known.trim()
-        return out
+        return [b"".join(ids) for ids, _ in found]
 
 
 @lru_cache(maxsize=2)

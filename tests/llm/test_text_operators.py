@@ -137,6 +137,34 @@ def test_packing_covers_every_token(spark, docs_of, prose):
     assert packing.pack_documents(docs_of([]), WORD_BPE).collect() == []
 
 
+def test_known_chunks_are_looked_up_once(prose):
+    class Counting(packing.Cache):
+        looked = 0
+
+        def get(self, *a):
+            self.looked += 1
+            return super().get(*a)
+
+        def __getitem__(self, k):
+            self.looked += 1
+            return super().__getitem__(k)
+
+        def __contains__(self, k):
+            self.looked += 1
+            return super().__contains__(k)
+
+    own = packing.ChunkTokenizer(WORD_BPE)
+    texts = [*(prose(80, i) for i in range(6)), *(t or "" for t in ODD), "Don't <|x|> 12ab, \u00e9t\u00e9 \u4e2d\u6587 a_b"]
+    own.chunks = Counting(10)  # so few that chunks go and come back
+    want = [np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [own.packed([t])[0] for t in texts] == want == own.packed(texts)
+    own.chunks = Counting(packing.CACHED_CHUNKS)
+    assert own.packed(texts) == want
+    own.chunks.looked = 0
+    assert own.packed(texts) == want
+    assert own.chunks.looked <= sum(len(t.replace("\n", " ").split(" ")) for t in texts)
+
+
 def test_plan_uses_every_piece():
     rng = random.Random(8)
     for top in (1, 40, 2048):
