@@ -7,16 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import SPACES, written
+from pulsegrid.llm.common import SPACES, texts_of, written
 from pulsegrid.llm.minhash import Layout, clustered
 
 SHINGLE = 8  # characters
 # 13 bands of four 16-bit minhashes: a pair at 0.8 shares no band once in a thousand.
 LINES = Layout(groups=13, per_group=4, dtype="u2", least_equal=28)
-CHUNK = 1 << 17  # characters hashed at a time, so that arrays stay in a core's cache
+ENTRIES = 1 << 19  # band entries that one task sorts at a time
+CHUNK = 1 << 16  # characters hashed at a time, so that arrays stay in a core's cache
 _RNG = np.random.default_rng(31)
 _MUL = (_RNG.integers(0, 2**32, LINES.hashes, dtype=np.uint64) | 1).astype(np.uint32)
 _M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
@@ -37,6 +38,23 @@ def shingles(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
+def packed_shingles(line: str) -> tuple[np.ndarray, frozenset]:
+    """`shingles`: runs of eight code points below 256 as sorted distinct numbers of their eight bytes, other ones as they are."""
+    if len(line) < SHINGLE:
+        return np.empty(0, np.uint64), frozenset([line])
+    if line.isascii():
+        narrow, rest = line.encode(), frozenset()
+        runs = np.ndarray((len(line) - SHINGLE + 1,), "<u8", narrow, 0, (1,))
+    else:
+        points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+        wide = np.concatenate([[0], np.cumsum(points > 255)])
+        wide = wide[SHINGLE:] != wide[:-SHINGLE]
+        runs = np.ndarray((len(wide),), "<u8", points.astype(np.uint8).tobytes(), 0, (1,))[~wide]
+        rest = frozenset(line[i : i + SHINGLE] for i in np.flatnonzero(wide).tolist())
+    runs = np.sort(runs)
+    return runs[np.concatenate([[True], runs[1:] != runs[:-1]])] if len(runs) else runs, rest
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """One row of 52 16-bit minhashes per line, over all its shingles."""
     out = np.empty((len(lines), LINES.hashes), np.uint32)
@@ -77,30 +95,116 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__hash"), F.col(text).alias("__text"))
 
 
+def _binary(sigs: np.ndarray) -> pa.Array:
+    """The rows of a table of numbers as binary values."""
+    size = sigs.shape[1] * sigs.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(sigs), [None, pa.py_buffer(np.ascontiguousarray(sigs))]).cast(pa.binary())
+
+
 def signed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(__key, __hash, pos, id, sig) of every line that is not blank."""
+    """(__key, __hash, pos, id, sig) of every line that is not blank; sig is null where a line repeats one of the same batch."""
     rows = _lines(docs, key, text)
     kind = rows.schema["__key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            seen = set()
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 owner, places, lines = [], [], []
-                for i, t in enumerate(part.column("__text")):
-                    for pos, line in lines_of(t.as_py() or ""):
+                for i, t in enumerate(texts_of(part, "__text")):
+                    for pos, line in lines_of(t):
                         owner.append(i)
                         places.append(pos)
                         lines.append(line)
-                sigs = signatures(lines)
-                source = pa.array(owner, pa.int64())
+                ids, new = line_ids(lines), []
+                for i, k in enumerate(ids.tolist()):
+                    if k not in seen:
+                        seen.add(k)
+                        new.append(i)
+                row = np.zeros(len(lines), np.int64)
+                row[new] = np.arange(len(new))
+                repeats = np.ones(len(lines), bool)
+                repeats[new] = False
+                source, row = pa.array(owner, pa.int64()), pa.array(row, mask=repeats)
                 arrays = [part.column("__key").take(source), part.column("__hash").take(source), pa.array(places, pa.int32()),
-                          pa.array(line_ids(lines), pa.int64()), pa.array([s.tobytes() for s in sigs], pa.binary())]
+                          pa.array(ids), _binary(signatures([lines[i] for i in new])).take(row)]
                 yield pa.RecordBatch.from_arrays(arrays, ["__key", "__hash", "pos", "id", "sig"])
 
     return rows.mapInArrow(run, f"__key {kind}, __hash long, pos int, id long, sig binary")
 
 
+def _shared(entry: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of entries that two or more ids have, sorted, each once."""
+    order = np.argsort(entry)
+    same = np.concatenate([[False], entry[order[1:]] == entry[order[:-1]], [False]])
+    order = order[same[1:] | same[:-1]]
+    order = order[np.lexsort((ids[order], entry[order]))]
+    entry, ids = entry[order], ids[order]
+    new = np.ones(len(entry), bool)
+    new[1:] = (entry[1:] != entry[:-1]) | (ids[1:] != ids[:-1])
+    entry, ids = entry[new], ids[new]
+    same = np.concatenate([[False], entry[1:] == entry[:-1], [False]])
+    several = (same[1:] | same[:-1])[: len(entry)]
+    return entry[several], ids[several]
+
+
+def shared_entries(lines: DataFrame) -> DataFrame:
+    """(id, pair, entry): the bands (pair) of signatures and their hashes (entry) that two or more ids share, each once per id.
+
+    The low four bits of an entry are its band. Entries are shuffled by parts of about `ENTRIES`, packed in a row per part
+    and batch; a task sorts one part at a time, whose rows (16 bytes each) it holds.
+    """
+    signed = lines.where("sig IS NOT NULL").select("id", "sig")
+    parts = max(1, LINES.groups * signed.count() // ENTRIES)
+
+    def packed(entry: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        part = (entry.view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+        order = np.argsort(part)
+        part = part[order].view(np.int64)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        offsets = pa.py_buffer((8 * np.append(cuts, len(part))).astype(np.int32))
+        rows = [pa.Array.from_buffers(pa.binary(), len(cuts), [None, offsets, pa.py_buffer(a[order])]) for a in (entry, ids)]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts]), *rows], ["part", "entry", "ids"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, ids, size = [], [], 0
+        for batch in batches:
+            bands = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u8").reshape(-1, LINES.groups)
+            h = bands * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+            entries.append(((h << np.uint64(4)) | np.arange(LINES.groups, dtype=np.uint64)).view(np.int64).ravel())
+            ids.append(np.repeat(batch.column("id").to_numpy(), LINES.groups))
+            size += h.size
+            if size >= ENTRIES:
+                yield packed(np.concatenate(entries), np.concatenate(ids))
+                entries, ids, size = [], [], 0
+        if size:
+            yield packed(np.concatenate(entries), np.concatenate(ids))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> pa.RecordBatch:
+            entry, own = _shared(*(np.frombuffer(b"".join(x), np.int64) for x in (entries, ids)))
+            return pa.RecordBatch.from_arrays([pa.array(own), pa.array((entry & 15).astype(np.int32)), pa.array(entry)], ["id", "pair", "entry"])
+
+        held, entries, ids = None, [], []
+        for batch in batches:
+            for part, e, i in zip(*(batch.column(c).to_pylist() for c in ("part", "entry", "ids")), strict=True):
+                if part != held and entries:
+                    yield found()
+                    entries, ids = [], []
+                held = part
+                entries.append(e)
+                ids.append(i)
+        if entries:
+            yield found()
+
+    rows = signed.mapInArrow(deal, "part long, entry binary, ids binary")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(meet, "id long, pair int, entry long")
+
+
 def bloom(ids: DataFrame, count: int, most_bits: int = 1 << 27) -> np.ndarray:
     """A bit table of the longs in `ids`, of at most `most_bits`: it lets most other ids be left out early, never one of these."""
     bits = 1 << max(16, min(most_bits.bit_length() - 1, (16 * count).bit_length()))
@@ -131,15 +235,17 @@ def line_texts(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFram
         known, bits = table.value, len(table.value) * 8
         for batch in batches:
             found = {}
-            for t in batch.column("__text"):
-                lines = [line for _, line in lines_of(t.as_py() or "")]
+            texts = texts_of(batch, "__text")
+            for at in range(0, len(texts), 1024):
+                lines = [line for t in texts[at : at + 1024] for _, line in lines_of(t)]
                 own = line_ids(lines)
                 hit = np.ones(len(own), bool)
                 for place in _places(own, bits):
                     hit &= (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                 found.update((int(own[i]), lines[i]) for i in np.flatnonzero(hit))
             lines = list(found.values())
-            arrays = [pa.array(found.keys(), pa.int64()), pa.array(lines, pa.string()), pa.array([len(shingles(x)) for x in lines], pa.int64()), pa.array([s.tobytes() for s in signatures(lines)], pa.binary())]
+            sizes = [sum(map(len, packed_shingles(x))) for x in lines]
+            arrays = [pa.array(found.keys(), pa.int64()), pa.array(lines, pa.string()), pa.array(sizes, pa.int64()), _binary(signatures(lines))]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "line", "n_shingles", "sig"])
 
     found = _lines(docs, key, text).mapInArrow(run, "id long, line string, n_shingles long, sig binary")
@@ -155,16 +261,11 @@ def duplicate_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     with a null key take no part; rows that repeat a key and text are one document (__hash is of the text).
     """
     lines = written(signed_lines(docs, key, text), "lines")
-    size = LINES.per_group * LINES.width
-    bands = F.array(*(F.xxhash64(F.substring("sig", 1 + size * i, size)) for i in range(LINES.groups)))
-    rows = lines.select("id", F.posexplode(bands).alias("pair", "entry"))
-    entry = Window.partitionBy("pair", "entry")
-    rows = rows.withColumn("other", F.min("id").over(entry) != F.max("id").over(entry)).where("other").select("id", "pair", "entry").distinct()
-    entries = written(rows, "bands")
+    entries = written(shared_entries(lines), "bands")
     ids = written(entries.select("id").distinct(), "candidates")
     heads = written(line_texts(docs, ids, key, text), "heads")
     contents = lambda wanted: heads.select("id", F.col("line").alias("content")).join(wanted, "id", "left_semi")
-    known = clustered(entries, entries, heads.select("id", "n_shingles", "sig"), contents, shingles, percent, LINES)
+    known = clustered(entries, entries, heads.select("id", "n_shingles", "sig"), contents, lambda x: packed_shingles(x.as_py()), percent, LINES)
     found = lines.select("__key", "__hash", "pos", "id").join(known, F.col("id") == F.col("node"), "left")
     found = written(found.select("__key", "__hash", "pos", F.coalesce("root", "id").alias("root")), "roots")
     place = F.struct("__key", "__hash", "pos")

@@ -20,6 +20,7 @@ from pulsegrid.llm.common import texts_of, written
 from pulsegrid.llm.components import components
 
 BLOCK = 1024  # members of a table entry that one task compares at a time
+PAIRS = 1 << 16  # pairs of such members whose signatures are compared at once
 
 
 @dataclass(frozen=True)
@@ -117,6 +118,18 @@ def tables(shared: DataFrame) -> DataFrame:
     return shared.select("id", F.explode(pairs).alias("p")).select("id", "p.pair", "p.entry")
 
 
+def long_set(content: pa.Scalar) -> tuple[np.ndarray, frozenset]:
+    """A list of distinct longs as a set: sorted numbers and, here none, other members."""
+    return np.sort(content.values.to_numpy()), frozenset()
+
+
+def linked(s: tuple[np.ndarray, frozenset], t: tuple[np.ndarray, frozenset], percent: int) -> bool:
+    """Whether two sets have 100 * intersection >= percent * union; distinct numbers that both have are neighbours when sorted."""
+    numbers = np.sort(np.concatenate([s[0], t[0]]))
+    both = int(np.count_nonzero(numbers[1:] == numbers[:-1])) + len(s[1] & t[1])
+    return 100 * both >= percent * (len(numbers) + len(s[1]) + len(t[1]) - both)
+
+
 def confirmed(pairs: DataFrame, contents: Callable[[DataFrame], DataFrame], as_set: Callable, percent: int) -> DataFrame:
     """The `pairs` (a, b) of ids whose whole sets have 100 * intersection >= percent * union, written out."""
     known = contents(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
@@ -127,9 +140,7 @@ def confirmed(pairs: DataFrame, contents: Callable[[DataFrame], DataFrame], as_s
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("ca"), batch.column("cb"), strict=True):
-                s, t = as_set(x.as_py()), as_set(y.as_py())
-                both = len(s & t)
-                keep.append(100 * both >= percent * (len(s) + len(t) - both))
+                keep.append(linked(as_set(x), as_set(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return written(rows.mapInArrow(run, "a long, b long").distinct(), "links")
@@ -151,35 +162,42 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, width: in
     return written(picked.mapInArrow(run, "id long, content array<long>").dropDuplicates(["id"]), "sets")
 
 
-def _candidates(q, ids, comps, sizes, group, sigs, asks, percent, layout) -> np.ndarray:
-    """Rows that row `q` of a table entry may be linked with, likeliest first; a pair belongs to the first group it shares."""
-    close = 100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])
-    # a query meets queries with a larger id, and all rows that are none
-    other = np.flatnonzero((comps != comps[q]) & (~asks | (ids > ids[q])) & close)
-    equal = (sigs[other] == sigs[q]).sum(axis=1)
-    other, equal = other[equal >= layout.least_equal], equal[equal >= layout.least_equal]
-    if group:
-        earlier = sigs[other][:, : group * layout.per_group].reshape(len(other), group, layout.per_group)
-        own = ~(earlier == sigs[q][: group * layout.per_group].reshape(group, layout.per_group)).all(axis=2).any(axis=1)
-        other, equal = other[own], equal[own]
-    return other[np.argsort(-equal, kind="stable")]
-
-
-def _meetings(rows: dict, group: int, percent: int, layout: Layout) -> Iterator[tuple[int, np.ndarray]]:
-    """(query row, candidate rows) of one block of a table entry: queries meet the rows whose own block this is."""
-    ids, query, away = rows["id"], rows["query"], rows["away"]
-    for q in np.flatnonzero(query):
-        at = np.flatnonzero(~away | (np.arange(len(ids)) == q))
-        place = int(np.searchsorted(at, q))
-        # a query from another block meets all rows at home here; the pair of two queries is met at both homes
-        asks = query[at] if not away[q] else np.arange(len(at)) == place
-        found = _candidates(place, ids[at], rows["comp"][at], rows["n_shingles"][at], group, rows["sig"][at], asks, percent, layout)
-        if len(found):
-            yield int(q), at[found]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[tuple[int, dict, pa.RecordBatch]]:
-    """(group, columns, rows) of each run of equal (group, entry, block); a run may go on in the next batch."""
+def _meetings(rows: dict, percent: int, layout: Layout) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query rows, rows that each may be linked with), queries in order and the likeliest of each first, for whole blocks.
+
+    Queries meet the rows whose own block this is, all queries of many blocks at once, in parts of about `PAIRS` pairs;
+    a pair belongs to the first group it shares.
+    """
+    ids, comp, sizes, query, away, sigs = (rows[c] for c in ("id", "comp", "n_shingles", "query", "away", "sig"))
+    home, asks = np.flatnonzero(~away), np.flatnonzero(query)
+    run = rows["run"]
+    first, last = (np.searchsorted(run[home], run[asks], side) for side in ("left", "right"))
+    ends = np.cumsum(last - first)
+    start = 0
+    while start < len(asks):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PAIRS, "right")))
+        n = (last - first)[start:stop]
+        q = np.repeat(asks[start:stop], n)
+        o = home[np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[start:stop], n)]
+        # a query at home meets queries with a larger id, and all rows that are none; the pair of two queries is met at both homes
+        keep = (comp[o] != comp[q]) & (away[q] | ~query[o] | (ids[o] > ids[q]))
+        keep &= 100 * np.minimum(sizes[o], sizes[q]) >= percent * np.maximum(sizes[o], sizes[q])
+        q, o = q[keep], o[keep]
+        equal = np.concatenate([np.zeros(0, np.int64), *(np.count_nonzero(sigs[q[i : i + 4096]] == sigs[o[i : i + 4096]], axis=1) for i in range(0, len(q), 4096))])
+        keep = equal >= layout.least_equal
+        q, o, equal = q[keep], o[keep], equal[keep]
+        shared = (sigs[q] == sigs[o]).reshape(len(q), layout.groups, layout.per_group).all(axis=2)
+        keep = ~(shared & (np.arange(layout.groups) < rows["pair"][q][:, None])).any(axis=1)
+        q, o, equal = q[keep], o[keep], equal[keep]
+        order = np.lexsort((-equal, q))
+        if len(q):
+            yield q[order], o[order]
+        start = stop
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[tuple[dict, pa.RecordBatch]]:
+    """(columns, rows) of whole runs of equal (group, entry, block), many at once; the last run of a batch may go on in the next."""
     rest = None
     for batch in _and_end(batches):
         if batch is not None:
@@ -190,14 +208,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[tuple
             continue
         keys = [rest.column(c).to_numpy() for c in ("pair", "entry", "block")]
         cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-        start = 0
-        for end in [*cuts.tolist(), *([rest.num_rows] if batch is None else [])]:
-            part = rest.slice(start, end - start)
-            columns = {c: part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n_shingles", "query", "away")}
+        end = rest.num_rows if batch is None else int(cuts[-1]) if len(cuts) else 0
+        if end:
+            part = rest.slice(0, end)
+            columns = {c: part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n_shingles", "query", "away", "pair")}
             columns["sig"] = np.frombuffer(b"".join(part.column("sig").to_pylist()), layout.dtype).reshape(-1, layout.hashes)
-            yield int(keys[0][start]), columns, part
-            start = end
-        rest = rest.slice(start)
+            columns["run"] = np.searchsorted(cuts, np.arange(end), "right")
+            yield columns, part
+            rest = rest.slice(end)
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -214,7 +232,7 @@ def crossing(
     component needs no work. In any other, the ids outside its most common component meet all of its ids, in
     blocks of about 1,024, so an entry of any size is dealt to many tasks. A first pass compares signatures and
     keeps the rows that have a likely partner; only these get their whole contents (`contents` of ids: id, content;
-    `as_set` of one) for the second pass, which confirms the likely pairs, likeliest first, unless confirmed ones have
+    `as_set` of one, as `linked` takes it) for the second pass, which confirms the likely pairs, likeliest first, unless confirmed ones have
     joined them already. No pair leaves a task but a link that joins two components there, so a group of
     near copies gives about one row per member and block.
     """
@@ -231,9 +249,9 @@ def crossing(
     dealt = lambda df: df.repartition("entry", "block").sortWithinPartitions("pair", "entry", "block", "id")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, columns, part in _blocks(batches, layout):
+        for columns, part in _blocks(batches, layout):
             some = np.zeros(part.num_rows, bool)
-            for q, found in _meetings(columns, group, percent, layout):
+            for q, found in _meetings(columns, percent, layout):
                 some[q] = True
                 some[found] = True
             if some.any():
@@ -244,7 +262,7 @@ def crossing(
     full = dealt(rows.join(contents(rows.select("id").distinct()), "id").select(*schema.names, "content"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, columns, part in _blocks(batches, layout):
+        for columns, part in _blocks(batches, layout):
             content, sets, joined, links = part.column("content"), {}, {}, []
 
             def root(c: int, joined: dict = joined) -> int:
@@ -252,20 +270,18 @@ def crossing(
                     c = joined[c]
                 return c
 
-            def own_set(i: int, sets: dict = sets, content=content) -> set:
-                if i not in sets:
-                    sets[i] = as_set(content[i].as_py())
-                return sets[i]
+            def own_set(i: int, sets: dict = sets, content=content) -> tuple:
+                if ids[i] not in sets:
+                    if len(sets) >= BLOCK:
+                        sets.clear()
+                    sets[ids[i]] = as_set(content[i])
+                return sets[ids[i]]
 
             ids, comps = columns["id"].tolist(), columns["comp"].tolist()
-            for q, found in _meetings(columns, group, percent, layout):
-                for o in found.tolist():
+            for some, found in _meetings(columns, percent, layout):
+                for q, o in zip(some.tolist(), found.tolist(), strict=True):
                     x, y = root(comps[q]), root(comps[o])
-                    if x == y:
-                        continue
-                    s, t = own_set(q), own_set(o)
-                    both = len(s & t)
-                    if 100 * both >= percent * (len(s) + len(t) - both):
+                    if x != y and linked(own_set(q), own_set(o), percent):
                         links.append((ids[q], ids[o]))
                         joined[max(x, y)] = min(x, y)
             a, b = zip(*links, strict=True) if links else ((), ())
@@ -285,8 +301,8 @@ def clustered(
     components so found is then settled entry by entry (`crossing`), so no link between components is lost.
     """
     # The first id of an entry, by a random order that all entries share, is the partner of the others.
-    first = entries.groupBy("pair", "entry").agg(F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("a"))).alias("f"))
-    met = entries.join(first.select("pair", "entry", "f.a"), ["pair", "entry"]).where("id <> a")
+    first = entries.groupBy("pair", "entry").agg(F.min_by("id", F.xxhash64("id")).alias("a"))
+    met = entries.join(first, ["pair", "entry"]).where("id <> a")
     best = met.groupBy("id", "a").agg(F.count("*").alias("n")).groupBy("id").agg(F.max(F.struct("n", "a")).alias("m"))
     side = lambda c: heads.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
     number = lambda c, k: F.expr(c).substr(layout.width * k + 1, F.lit(layout.width))
@@ -318,7 +334,7 @@ def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     entries = written(tables(shared), "tables")
     groups = shared.select("id", F.explode("gs").alias("g")).select("id", F.col("g.i").alias("pair"), F.col("g.h").alias("entry"))
     contents = lambda ids: shingle_sets(docs, ids, key, text, width)
-    known = clustered(entries, groups, heads, contents, set, percent, DOCUMENTS)
+    known = clustered(entries, groups, heads, contents, long_set, percent, DOCUMENTS)
     roots = heads.join(known, F.col("id") == F.col("node"), "left").select("__set", "n_shingles", F.coalesce("root", "id").alias("root"))
     out = signed.join(roots, ["__set", "n_shingles"], "left").withColumn("component_id", F.coalesce("root", "__id"))
     kept = F.coalesce(F.col("__id") == F.col("component_id"), F.lit(True))

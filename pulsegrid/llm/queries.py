@@ -167,7 +167,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its lines and the text that is left when one line of each component stays."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    lines = F.size(F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
+    # a line from "!" on begins with a character that is no white space; others are searched for one
+    lines = F.size(F.filter(F.split("text", "\n"), lambda line: (line >= "!") | line.rlike(r"[^\x20\x09-\x0D]")))
     return fuzzy_lines.dedup_lines(docs.withColumn("n_lines", lines)).withColumn("n_kept", lines)
 
 

@@ -109,6 +109,43 @@ def test_lines_equal_all_pairs(spark, docs_of, prose):
     assert [r["text"] for r in got.orderBy("doc_id").collect()] == plain_lines(texts)
 
 
+def test_a_repeated_line_is_signed_once_a_batch(spark, docs_of, prose):
+    lines = [prose(20, 1), prose(20, 2), "short"]
+    docs = docs_of(["\n".join(lines * 3)] * 40 + [None, "", "\n"]).coalesce(1)
+    signed = fuzzy_lines.signed_lines(docs, "doc_id", "text").collect()
+    assert len(signed) == 40 * 9 and len({(r["__key"], r["pos"]) for r in signed}) == 40 * 9
+    assert sorted(r["sig"] for r in signed if r["sig"]) == sorted(s.tobytes() for s in fuzzy_lines.signatures(lines))
+
+
+def test_shared_entries_equal_groups(spark, docs_of, prose, monkeypatch):
+    texts = [x for s in range(8) for x in variants(prose, 6, s, 4)]
+    lines = fuzzy_lines.signed_lines(docs_of([*texts, texts[0], "a\na"]), "doc_id", "text")
+    groups = {}
+    for r in lines.where("sig IS NOT NULL").collect():
+        for i in range(13):
+            groups.setdefault((i, r["sig"][8 * i : 8 * i + 8]), set()).add(r["id"])
+    expected = sorted((k[0], tuple(sorted(v))) for k, v in groups.items() if len(v) > 1)
+    for size in (1 << 19, 40):
+        monkeypatch.setattr(fuzzy_lines, "ENTRIES", size)
+        got = {}
+        for r in fuzzy_lines.shared_entries(lines).collect():
+            got.setdefault((r["pair"], r["entry"]), []).append(r["id"])
+        assert sorted((k[0], tuple(sorted(v))) for k, v in got.items()) == expected
+
+
+def test_packed_shingles_equal_plain_ones():
+    rng = random.Random(2)
+    odd = ["a", "abc\x00\x00\x00\x00\x00", "abc", "é" * 9, "\U0001f642" * 20, "it’s a line with one wide mark and more", "\ud800 lone surrogate here"]
+    odd += ["".join(rng.choice(alphabet) for _ in range(rng.randint(7, 40))) for alphabet in ("ab", "aé", "a’", "aé’") for _ in range(30)]
+    for x in odd:
+        numbers, others = fuzzy_lines.packed_shingles(x)
+        assert len(set(numbers.tolist())) == len(numbers) and len(numbers) + len(others) == len(fuzzy_lines.shingles(x))
+        for y in odd:
+            s, t = fuzzy_lines.shingles(x), fuzzy_lines.shingles(y)
+            for percent in (5, 30, 80):
+                assert minhash.linked((numbers, others), fuzzy_lines.packed_shingles(y), percent) == (100 * len(s & t) >= percent * len(s | t))
+
+
 def test_documents_without_lines_left(spark, docs_of, prose):
     docs = docs_of([prose(20, 1), prose(20, 1), "", None])
     assert sorted(r["doc_id"] for r in fuzzy_lines.dedup_lines(docs, empty=False).collect()) == [0, 2, 3]
